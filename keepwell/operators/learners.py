@@ -82,8 +82,14 @@ def _assembled(rows: DataFrame, columns: list[str], label: str) -> Features:
     )
 
 
+def _used(rows: DataFrame) -> DataFrame:
+    """Rows beyond the sample caps take no part in training, calibration or test."""
+    return rows.filter(F.col("role") != "unused")
+
+
 def linear_features(rows: DataFrame) -> Features:
     """Imputed, scaled numerics with one-hot categories."""
+    rows = _used(rows)
     train = rows.filter(F.col("role") == "train")
     numeric = encoding.learn_numeric(train, _numeric(rows), scale=True)
     one_hot = encoding.learn_one_hot(train)
@@ -93,6 +99,7 @@ def linear_features(rows: DataFrame) -> Features:
 
 def ordinal_features(rows: DataFrame) -> Features:
     """Imputed numerics with ordinal category codes."""
+    rows = _used(rows)
     train = rows.filter(F.col("role") == "train")
     numeric = encoding.learn_numeric(train, _numeric(rows))
     prepared = encoding.ordinal_encode(numeric.impute(rows), encoding.ordinal_levels(train))
@@ -101,6 +108,7 @@ def ordinal_features(rows: DataFrame) -> Features:
 
 def nominal_features(rows: DataFrame) -> Features:
     """Imputed numerics with native categories over one level domain for all roles."""
+    rows = _used(rows)
     train = rows.filter(F.col("role") == "train")
     numeric = encoding.learn_numeric(train, _numeric(rows))
     indexer = StringIndexer(

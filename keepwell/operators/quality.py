@@ -57,13 +57,15 @@ def snapshot_contracts(
 
 
 def id_set_difference(left: DataFrame, right: DataFrame, key: str = "msno") -> DataFrame:
-    """Ids on one side only, with the side; empty when the id sets are equal."""
-    a, b = left.select(key), right.select(key)
+    """Ids on one side only, with the side; empty when the id sets are equal.
+
+    Ids are made distinct first, so a repeated id reaches the join once.
+    """
+    a, b = left.select(key).distinct(), right.select(key).distinct()
     return (
         a.join(b, key, "left_anti")
-        .distinct()
         .withColumn("only_in", F.lit("left"))
-        .unionByName(b.join(a, key, "left_anti").distinct().withColumn("only_in", F.lit("right")))
+        .unionByName(b.join(a, key, "left_anti").withColumn("only_in", F.lit("right")))
     )
 
 

@@ -124,7 +124,7 @@ def cut_totals(
     measures = ["churned", *extra]
     before = F.col("cum_customers") - F.col("customers")
     wanted = F.filter(
-        capacities,
+        F.array_distinct(capacities),
         lambda c: (target_count(F.col("total_customers"), c) > before)
         & (target_count(F.col("total_customers"), c) <= F.col("cum_customers")),
     )

@@ -77,10 +77,9 @@ def _scored_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staged(fixtures.scored_models(spark, sf_dir), "scored-models")
 
 
-def _valued(spark: SparkSession, sf_dir: str, multiplier: float = 1.0) -> DataFrame:
-    return staged(
-        campaign.scored_with_value(fixtures.scored(spark, sf_dir), _model_input(spark, sf_dir), multiplier), "valued"
-    )
+def _valued(spark: SparkSession, sf_dir: str, inputs: DataFrame | None = None) -> DataFrame:
+    inputs = _model_input(spark, sf_dir) if inputs is None else inputs
+    return staged(campaign.scored_with_value(fixtures.scored(spark, sf_dir), inputs), "valued")
 
 
 def _scenario(spark: SparkSession, sf_dir: str) -> Row:
@@ -93,9 +92,9 @@ def _metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staged(metrics.tournament_records(metrics.model_metrics(scored)), "metrics")
 
 
-def _spend_grid(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Row]:
+def _spend_grid(spark: SparkSession, sf_dir: str, inputs: DataFrame | None = None) -> tuple[DataFrame, Row]:
     config = _scenario(spark, sf_dir)
-    targets = campaign.target_totals(_valued(spark, sf_dir), config["capacity_grid_percent"])
+    targets = campaign.target_totals(_valued(spark, sf_dir, inputs), config["capacity_grid_percent"])
     return campaign.spend_grid(targets, config), config
 
 
@@ -564,7 +563,7 @@ def dq_contracts(spark, sf_dir):
     built = staged(_snapshot(spark, sf_dir), "snapshot")
     prepared = staged(model_input.model_input(built), "input")
     measured = _metrics(spark, sf_dir)
-    grid, config = _spend_grid(spark, sf_dir)
+    grid, config = _spend_grid(spark, sf_dir, prepared)
     grid = staged(grid, "grid")
     capacities = config["capacity_grid_percent"]
     chosen = campaign.recommendation(grid, capacities)

@@ -25,7 +25,7 @@ MODEL_SEEDS = {
     "boosted_nominal_isotonic_calibrated": "44|",
 }
 
-# The three statements below run unchanged on Spark and on DuckDB.
+# Plain statements, the same in any SQL dialect.
 TRANSACTIONS_SQL = """
 SELECT o.o_custkey AS msno,
   CASE WHEN o.o_orderkey % 997 = 0 THEN 0
@@ -68,7 +68,18 @@ def _derive(spark: SparkSession, sf_dir: str, statement: str) -> DataFrame:
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _derive(spark, sf_dir, TRANSACTIONS_SQL)
+    """``TRANSACTIONS_SQL`` with the money summed as whole cents and discounts as whole percents.
+
+    The same amounts, but in 64-bit integers, where wide decimals would leave generated code.
+    """
+    in_cents = TRANSACTIONS_SQL.replace(
+        "CAST(floor(sum(CAST(l_extendedprice AS DECIMAL(12,2)))) AS BIGINT)",
+        "sum(floor(l_extendedprice * 100 + 0.5)) div 100",
+    ).replace(
+        "CAST(floor(sum(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))))) AS BIGINT)",
+        "sum(floor(l_extendedprice * 100 + 0.5) * (100 - floor(l_discount * 100 + 0.5))) div 10000",
+    )
+    return _derive(spark, sf_dir, in_cents)
 
 
 def members(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,7 +87,21 @@ def members(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _derive(spark, sf_dir, LABELS_SQL)
+    """``LABELS_SQL`` with the orders counted per customer before the join.
+
+    A customer with a third of all orders is then one row on the way to the join.
+    """
+    return _derive(
+        spark,
+        sf_dir,
+        """
+SELECT c.c_custkey AS msno, CASE WHEN o.n IS NULL THEN 1 ELSE 0 END AS is_churn
+FROM customer c LEFT JOIN (
+  SELECT o_custkey, count(*) AS n FROM orders
+  WHERE o_orderdate > TIMESTAMP '1997-12-31 00:00:00' AND o_orderdate <= TIMESTAMP '1999-06-30 00:00:00'
+  GROUP BY o_custkey) o ON o.o_custkey = c.c_custkey
+""",
+    )
 
 
 def scored(spark: SparkSession, sf_dir: str, seed: str = "42|") -> DataFrame:
