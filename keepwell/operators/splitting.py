@@ -53,27 +53,35 @@ def flag_first(
     """Adds ``flag``: whether a row is among the first ``_quota`` of its stratum in hash order.
 
     A stratum may hold nearly all rows, so it is never sorted as a whole. Counts per hash bucket
-    settle every bucket but the one the quota ends in; only that one, a ten-thousandth of the
-    stratum, is numbered row by row.
+    tell which bucket the quota ends in; only that one, a ten-thousandth of the stratum, is
+    numbered, to find the last row that is in. The rows themselves are then compared with it, in
+    one pass and without a shuffle.
     """
-    drawn = df.withColumns({"_draw": hash_draw(seed, ID), "_bucket": hash_bucket(seed, ID)})
+    draws = {"_draw": hash_draw(seed, ID), "_bucket": hash_bucket(seed, ID)}
+    keys = df.select(*strata, ID).withColumns(draws)
     upto = Window.partitionBy(*strata).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
-    levels = (
-        drawn.groupBy(*strata, "_bucket")
+    last_buckets = (
+        # At most 10,000 buckets per stratum, and one quota.
+        keys.groupBy(*strata, "_bucket")
         .agg(F.count(F.lit(1)).alias("_rows"))
         .withColumn("_upto", F.sum("_rows").over(upto))
-        .join(F.broadcast(quotas), [*strata])  # one row per stratum
-        .select(*strata, "_bucket", "_quota", "_upto", (F.col("_upto") - F.col("_rows")).alias("_before"))
+        .join(F.broadcast(quotas), [*strata])
+        .withColumn("_need", F.col("_quota") - F.col("_upto") + F.col("_rows"))
+        .filter(F.col("_need").between(1, F.col("_rows")))
+        .select(*strata, "_bucket", "_need")
     )
-    # At most 10,000 levels per stratum.
-    placed = drawn.join(F.broadcast(levels), [*strata, "_bucket"])
-    ends_here = (F.col("_before") < F.col("_quota")) & (F.col("_quota") < F.col("_upto"))
-    settled = placed.filter(~ends_here).withColumn(flag, F.col("_upto") <= F.col("_quota"))
     order = Window.partitionBy(*strata).orderBy("_draw", ID)
-    edge = placed.filter(ends_here).withColumn(
-        flag, F.col("_before") + F.row_number().over(order) <= F.col("_quota")
+    # One last row per stratum; none where the quota is zero.
+    last_rows = (
+        keys.join(F.broadcast(last_buckets), [*strata, "_bucket"])
+        .withColumn("_place", F.row_number().over(order))
+        .filter(F.col("_place") == F.col("_need"))
+        .select(*strata, F.struct("_bucket", "_draw", ID).alias("_last"))
+    )
+    inside = F.struct(draws["_bucket"].alias("_bucket"), draws["_draw"].alias("_draw"), ID) <= F.col("_last")
+    return df.join(F.broadcast(last_rows), [*strata], "left").select(
+        *df.columns, F.coalesce(inside, F.lit(False)).alias(flag)
     )
-    return settled.unionByName(edge).drop("_draw", "_bucket", "_quota", "_upto", "_before")
 
 
 def _class_counts(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -101,14 +109,16 @@ def split_roles(
     seed: str = SPLIT_SEED,
     train_rows: int = MODEL_TRAIN_ROWS,
     calibration_rows: int = CALIBRATION_ROWS,
+    train_share: float = TRAIN_SHARE,
 ) -> DataFrame:
     """Adds ``role``: disjoint test, train and calibration samples, and 'unused' beyond the caps.
 
-    60/20/20 by hash range; a role larger than its cap keeps a stratified sample of that size.
+    By hash range, 60/20/20 unless told otherwise; a role larger than its cap keeps a stratified
+    sample of that size. The test rows depend on the seed alone, so all splits share them.
     """
     bucket = hash_bucket(seed, ID)
     test_end = round(TEST_SHARE * BUCKETS)
-    train_end = test_end + round(TRAIN_SHARE * BUCKETS)
+    train_end = test_end + round(train_share * BUCKETS)
     ranged = df.withColumn(
         "role",
         F.when(bucket < test_end, F.lit("test"))
@@ -128,6 +138,11 @@ def split_roles(
     )
 
 
+def baseline_roles(df: DataFrame, seed: str = SPLIT_SEED, train_rows: int = MODEL_TRAIN_ROWS) -> DataFrame:
+    """The split of the baselines: nothing to calibrate, so all but the test rows may train."""
+    return split_roles(df, seed, train_rows, train_share=1 - TEST_SHARE)
+
+
 def class_weights(train: DataFrame) -> DataFrame:
     """Per class: rows, the balanced weight ``n / (2 n_c)`` and the boosting weight.
 

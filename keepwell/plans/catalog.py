@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +37,7 @@ QUERIES: dict[str, Query] = {}
 
 MIN_DISTINCT_SCORES = 30
 BASE_RATE_BAND = (0.05, 0.20)
+# Samples of a fixed size are the feature; these are small enough to bind on every test table.
 SAMPLE_ROWS = 500
 ROLE_CAPS = {"train_rows": 700, "calibration_rows": 200}
 
@@ -119,6 +122,26 @@ def source_parquet_projection(spark, sf_dir):
     return shown(readers.read_parquet(spark, path, ["msno", "latest_amount_paid", "average_amount_paid"]))
 
 
+@query
+def source_parquet_view(spark, sf_dir):
+    """The written snapshot as a SQL view."""
+    path = scratch_path(spark, "snapshot")
+    _snapshot(spark, sf_dir).write.parquet(path)
+    view = f"snapshot_{uuid.uuid4().hex}"
+    readers.parquet_view(spark, path, view)
+    table = spark.sql(
+        f"""
+        SELECT CASE WHEN days_since_last_transaction IS NULL THEN 'no safe payment history'
+                    WHEN days_since_last_transaction <= 30 THEN '0-30 days since payment'
+                    ELSE 'over 30 days since payment' END AS recency_segment,
+               COUNT(*) AS customers, ROUND(100.0 * AVG(is_churn), 2) AS churn_percent
+        FROM {view} GROUP BY 1 ORDER BY churn_percent DESC
+        """
+    )
+    spark.catalog.dropTempView(view)
+    return table
+
+
 @query
 def source_json_config(spark, sf_dir):
     path = scratch_path(spark, "config")
@@ -148,6 +171,18 @@ def sink_csv_roundtrip(spark, sf_dir):
     return readers.read_csv(spark, path, table.schema)
 
 
+@query
+def rewrite_in_place(spark, sf_dir):
+    """Stored predictions whose champion column was lost, restored in the same place."""
+    scored = _scored_models(spark, sf_dir)
+    winner = champion.champion(staged(metrics.tournament_records(metrics.model_metrics(scored)), "metrics"))
+    models = list(fixtures.MODEL_SEEDS)
+    path = scratch_path(spark, "predictions")
+    wide = champion.wide_predictions(scored, models, winner)
+    wide.withColumn("champion_calibrated_probability", F.lit(None).cast("double")).write.parquet(path)
+    return shown(sinks.rewrite_parquet(spark, path, lambda stored: champion.reselect(stored, models, winner)))
+
+
 @query
 def champion_record_json(spark, sf_dir):
     record = champion.champion_record(_metrics(spark, sf_dir))
@@ -616,7 +651,8 @@ def any_column_search(spark, sf_dir):
 
 
 def _baseline(spark, sf_dir, name):
-    features = learners.linear_features(_rows_with_roles(spark, sf_dir))
+    rows = splitting.baseline_roles(staged(_model_input(spark, sf_dir), "input"))
+    features = learners.linear_features(staged(rows, "roles"))
     return features, learners.BASELINES[name](features, learners.QUICK)
 
 
@@ -656,6 +692,20 @@ def score_boosted_nominal(spark, sf_dir):
     return _test_scores(_candidate(spark, sf_dir, "boosted_nominal"))
 
 
+@query
+def model_save_load(spark, sf_dir):
+    """A saved and loaded model against the one in memory: customers scored, and scored otherwise."""
+    features, model = _candidate(spark, sf_dir, "boosted_ordinal")
+    path = scratch_path(spark, "model")
+    model.write().overwrite().save(path)
+    again = learners.score(PipelineModel.load(path), features.role("test")).withColumnRenamed("risk", "again")
+    both = learners.score(model, features.role("test")).join(again.drop("is_churn"), "msno", "left")
+    return both.agg(
+        F.count(F.lit(1)).alias("customers"),
+        F.count_if(~F.col("risk").eqNullSafe(F.col("again"))).alias("scored_otherwise"),
+    )
+
+
 @query
 def feature_importance_forest(spark, sf_dir):
     features, model = _baseline(spark, sf_dir, "random_forest")

@@ -438,12 +438,60 @@ FROM (SELECT *, CAST(floor(c * m / CAST(t AS DOUBLE)) AS BIGINT) AS whole, (c *
             FROM (SELECT *, CAST(SUM(c) OVER ({over}) AS BIGINT) AS t FROM counted)))"""
 
 
+PREDICTIONS = statement(
+    f"""SELECT msno, is_churn, {_join([
+        f"MAX(CASE WHEN s.model = '{m}' THEN ROUND(risk, 6) END) AS "
+        f"{m.removesuffix('_isotonic_calibrated')}_calibrated_probability" for m in fixtures.MODEL_SEEDS])},
+    MAX(CASE WHEN s.model = (SELECT model FROM winner) THEN ROUND(risk, 6) END) AS champion_calibrated_probability
+FROM scored_models s GROUP BY msno, is_churn""",
+    "scored_models",
+    "winner",
+)
+
+# The model input's columns and types, in order.
+INPUT_TYPES = {
+    "msno": "bigint",
+    "is_churn": "int",
+    "transaction_count_to_cutoff": "bigint",
+    "payment_method_count": "bigint",
+    "plan_type_count": "bigint",
+    "total_amount_paid": "bigint",
+    "average_amount_paid": "double",
+    "total_list_price": "bigint",
+    "auto_renew_rate": "double",
+    "cancellation_count": "bigint",
+    "cancellation_rate": "double",
+    "days_since_first_transaction": "int",
+    "days_since_last_transaction": "int",
+    "total_discount_amount": "bigint",
+    "discount_rate": "double",
+    "transaction_count_last_31_days": "bigint",
+    "amount_paid_last_31_days": "bigint",
+    "cancellations_last_31_days": "bigint",
+    "transaction_count_last_90_days": "bigint",
+    "latest_list_price": "bigint",
+    "latest_amount_paid": "bigint",
+    "latest_is_auto_renew": "int",
+    "latest_is_cancel": "int",
+    "age_clean": "int",
+    "age_unknown_flag": "tinyint",
+    "has_transaction_history_flag": "tinyint",
+    "has_member_profile_flag": "tinyint",
+    "days_since_registration": "int",
+    **{name: "string" for name in CATEGORY_SOURCES},
+}
+
 ORACLES: dict[str, str] = {
     # scans and sinks
     "source_csv": statement("SELECT * FROM transactions", "transactions"),
     "source_parquet_projection": statement(
         f"SELECT msno, latest_amount_paid, {_r('average_amount_paid')} FROM inputs", "inputs"
     ),
+    "source_parquet_view": _segment(
+        """CASE WHEN days_since_last_transaction IS NULL THEN 'no safe payment history'
+    WHEN days_since_last_transaction <= 30 THEN '0-30 days since payment' ELSE 'over 30 days since payment' END""",
+        "recency_segment",
+    ),
     "source_json_config": statement(
         """SELECT 10.0::DOUBLE AS campaign_capacity_percent, 30.0::DOUBLE AS offer_cost_per_customer,
     0.1::DOUBLE AS assumed_save_rate, 6 AS value_months, 'dataset currency units' AS monetary_unit_label,
@@ -458,6 +506,17 @@ FROM budget, (VALUES (1.0::DOUBLE), (2.0), (5.0), (10.0), (15.0), (20.0), (25.0)
 FROM winner""",
         "winner",
     ),
+    "rewrite_in_place": PREDICTIONS,
+    "schema_report": statement(
+        f"""SELECT position, column_name, column_type, (SELECT COUNT(*) FROM inputs) AS row_count
+FROM (VALUES {_join([f"({i}, '{name}', '{kind}')" for i, (name, kind) in enumerate(INPUT_TYPES.items(), 1)], ', ')})
+  t(position, column_name, column_type)""",
+        "inputs",
+    ),
+    "model_save_load": statement(
+        "SELECT COUNT(*) AS customers, 0::BIGINT AS scored_otherwise FROM split_label WHERE split = 'test'",
+        "split_label",
+    ),
     # point-in-time features
     "parse_compact_date": statement(
         f"""SELECT transaction_date, d AS transaction_date_parsed, COUNT(*) AS transactions,
@@ -699,15 +758,7 @@ FROM drawn d JOIN mapped m ON m.risk = d.risk WHERE d.b < 2000""",
     "champion_scores": statement(
         "SELECT s.* FROM scored_models s JOIN winner w ON w.model = s.model", "scored_models", "winner"
     ),
-    "tournament_predictions": statement(
-        f"""SELECT msno, is_churn, {_join([
-            f"MAX(CASE WHEN s.model = '{m}' THEN ROUND(risk, 6) END) AS "
-            f"{m.removesuffix('_isotonic_calibrated')}_calibrated_probability" for m in fixtures.MODEL_SEEDS])},
-    MAX(CASE WHEN s.model = (SELECT model FROM winner) THEN ROUND(risk, 6) END) AS champion_calibrated_probability
-FROM scored_models s GROUP BY msno, is_churn""",
-        "scored_models",
-        "winner",
-    ),
+    "tournament_predictions": PREDICTIONS,
     # campaign
     "scored_with_value": statement(
         f"""SELECT msno, is_churn, {_r('risk')}, latest_amount_paid, {_r('average_amount_paid')}

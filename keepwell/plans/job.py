@@ -27,7 +27,7 @@ from keepwell.operators import (
 )
 from keepwell.operators.model_input import model_input
 from keepwell.operators.snapshot import customer_snapshot, snapshot_summary
-from keepwell.session import staged
+from keepwell.session import release_scratch, staged
 from keepwell.sources import readers, schemas, sinks
 
 ORDINAL_MODEL = "boosted_ordinal"
@@ -85,10 +85,11 @@ def prepare_model_input(run: Run) -> None:
     quality.require(quality.model_input_contracts(source, written))
     sinks.write_small_csv(sinks.schema_report(written), run.path("reports/model_input_schema"))
     sinks.write_parquet(splitting.split_roles(written), run.path("gold/model_input_roles"))
+    sinks.write_parquet(splitting.baseline_roles(written), run.path("gold/model_input_baseline_roles"))
 
 
 def train_baselines(run: Run) -> None:
-    models, scores, features = learners.baseline_scores(run.table("gold/model_input_roles"), run.profile)
+    models, scores, features = learners.baseline_scores(run.table("gold/model_input_baseline_roles"), run.profile)
     for name, model in models.items():
         model.write().overwrite().save(run.path(f"models/{name}"))
     scores = sinks.write_parquet(scores, run.path("gold/test_scores_baselines"))
@@ -298,6 +299,7 @@ def main(arguments: list[str] | None = None) -> None:
     )
     for step in given.steps:
         STEPS[step](run)
+    release_scratch(run.spark)
 
 
 if __name__ == "__main__":

@@ -23,6 +23,7 @@ def local_session(cores: str = "*", app: str = "keepwell") -> SparkSession:
 
 
 _LOCAL_ROOTS: dict[str, str] = {}
+_STAGED: dict[str, list[str]] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -53,6 +54,16 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     Cuts the lineage: everything downstream reads Parquet from shared storage, so a lost
     executor costs a re-read and not a recomputation, and column pruning works on the way back.
     """
-    path = scratch_path(df.sparkSession, label)
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    _STAGED.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete the tables this application staged, once nothing reads them any more."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in _STAGED.pop(spark.sparkContext.applicationId, []):
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(conf).delete(folder, True)
