@@ -33,6 +33,7 @@ class Profile:
     deep_depth: int = 7
     nominal_rounds: int = 500
     nominal_depth: int = 5
+    train_partitions: int = 32
 
 
 FULL = Profile()
@@ -47,6 +48,7 @@ QUICK = Profile(
     deep_depth=4,
     nominal_rounds=4,
     nominal_depth=3,
+    train_partitions=4,
 )
 
 
@@ -60,6 +62,13 @@ class Features:
     def role(self, name: str) -> DataFrame:
         return self.rows.filter(F.col("role") == name)
 
+    def training(self, profile: Profile) -> DataFrame:
+        """The capped train role, always in the same partitions and order.
+
+        Row sampling draws by partition and position, so this is what makes a seed repeatable.
+        """
+        return self.role("train").repartition(profile.train_partitions, ID).sortWithinPartitions(ID)
+
 
 def _weighted(rows: DataFrame) -> DataFrame:
     """Class weights as learned from the train role, put on every row."""
@@ -132,7 +141,7 @@ def _max_bins(features: Features) -> int:
 
 def fit_logistic(features: Features, profile: Profile) -> PipelineModel:
     """L2 with unit inverse strength on the summed loss; Spark's loss is the weighted mean."""
-    train = features.role("train")
+    train = features.training(profile)
     total = train.agg(F.sum("balanced_weight").alias("w")).first()["w"]
     learner = LogisticRegression(
         labelCol=TARGET,
@@ -156,19 +165,20 @@ def fit_forest(features: Features, profile: Profile) -> PipelineModel:
         featureSubsetStrategy="sqrt",
         seed=SEED,
     )
-    return Pipeline(stages=[learner]).fit(features.role("train"))
+    return Pipeline(stages=[learner]).fit(features.training(profile))
 
 
-def _boosted(features: Features, **settings) -> PipelineModel:
+def _boosted(features: Features, profile: Profile, **settings) -> PipelineModel:
     learner = GBTClassifier(
         labelCol=TARGET, weightCol="boost_weight", stepSize=0.05, seed=SEED, maxBins=_max_bins(features), **settings
     )
-    return Pipeline(stages=[learner]).fit(features.role("train"))
+    return Pipeline(stages=[learner]).fit(features.training(profile))
 
 
 def fit_boosted_ordinal(features: Features, profile: Profile) -> PipelineModel:
     return _boosted(
         features,
+        profile,
         maxIter=profile.ordinal_rounds,
         maxDepth=profile.ordinal_depth,
         minInstancesPerNode=20,
@@ -178,12 +188,13 @@ def fit_boosted_ordinal(features: Features, profile: Profile) -> PipelineModel:
 
 
 def fit_boosted_nominal_deep(features: Features, profile: Profile) -> PipelineModel:
-    return _boosted(features, maxIter=profile.deep_rounds, maxDepth=profile.deep_depth)
+    return _boosted(features, profile, maxIter=profile.deep_rounds, maxDepth=profile.deep_depth)
 
 
 def fit_boosted_nominal(features: Features, profile: Profile) -> PipelineModel:
     return _boosted(
         features,
+        profile,
         maxIter=profile.nominal_rounds,
         maxDepth=profile.nominal_depth,
         minInstancesPerNode=20,

@@ -393,25 +393,44 @@ FROM (SELECT c, COUNT(*) AS k, CAST(SUM(CAST(risk AS DECIMAL(18,12))) AS DOUBLE)
      (VALUES {rates}) save(r)"""
 
 
-def _segment(key: str, name: str) -> str:
+# Segment bands as (from, to, label) rows; a missing match means no history.
+RECENCY_BANDS = [
+    (0, 7, "0-7 days since payment"),
+    (8, 30, "8-30 days since payment"),
+    (31, 90, "31-90 days since payment"),
+    (91, 999999, "over 90 days since payment"),
+]
+FREQUENCY_BANDS = [
+    (1, 3, "1-3 payments"),
+    (4, 10, "4-10 payments"),
+    (11, 25, "11-25 payments"),
+    (26, 999999, "26+ payments"),
+]
+RENEWAL_BANDS = [(0, 0, "0"), (1, 1, "1")]
+
+
+def _banded(column: str, bands: list[tuple[int, int, str]], missing: str, driver: str = "") -> str:
+    """Customers per band, by a range join with the band rows."""
+    rows = _join([f"({low}, {high}, '{label}')" for low, high, label in bands], ", ")
+    first = f"'{driver}' AS driver, " if driver else ""
+    return f"""
+SELECT {first}COALESCE(b.label, '{missing}') AS segment, COUNT(*) AS customers,
+    ROUND(100.0 * SUM(s.is_churn) / COUNT(*), 2) AS churn_percent
+FROM snapshot s LEFT JOIN (VALUES {rows}) b(low, high, label) ON s.{column} BETWEEN b.low AND b.high
+GROUP BY COALESCE(b.label, '{missing}')"""
+
+
+def _segment(name: str, column: str, bands: list[tuple[int, int, str]], missing: str) -> str:
     return statement(
-        f"""SELECT {key} AS {name}, COUNT(*) AS customers, ROUND(100.0 * AVG(is_churn), 2) AS churn_percent
-FROM snapshot GROUP BY 1 ORDER BY churn_percent DESC""",
-        "snapshot",
+        f"SELECT segment AS {name}, customers, churn_percent FROM ({_banded(column, bands, missing)})", "snapshot"
     )
 
 
-AUTO_RENEWAL = "COALESCE(CAST(latest_is_auto_renew AS VARCHAR), 'no_history')"
-RECENCY = """CASE WHEN days_since_last_transaction IS NULL THEN 'no safe payment history'
-    WHEN days_since_last_transaction <= 7 THEN '0-7 days since payment'
-    WHEN days_since_last_transaction <= 30 THEN '8-30 days since payment'
-    WHEN days_since_last_transaction <= 90 THEN '31-90 days since payment'
-    ELSE 'over 90 days since payment' END"""
-FREQUENCY = """CASE WHEN transaction_count_to_cutoff = 0 THEN 'no safe payment history'
-    WHEN transaction_count_to_cutoff <= 3 THEN '1-3 payments'
-    WHEN transaction_count_to_cutoff <= 10 THEN '4-10 payments'
-    WHEN transaction_count_to_cutoff <= 25 THEN '11-25 payments'
-    ELSE '26+ payments' END"""
+DRIVERS = {
+    "churn_by_latest_auto_renewal": ("latest_is_auto_renew", RENEWAL_BANDS, "no_history"),
+    "churn_by_payment_recency": ("days_since_last_transaction", RECENCY_BANDS, "no safe payment history"),
+    "churn_by_transaction_frequency": ("transaction_count_to_cutoff", FREQUENCY_BANDS, "no safe payment history"),
+}
 
 SNAPSHOT_SELECT = (
     "SELECT * REPLACE (ROUND(average_amount_paid, 6) AS average_amount_paid, ROUND(auto_renew_rate, 6) AS "
@@ -488,9 +507,10 @@ ORACLES: dict[str, str] = {
         f"SELECT msno, latest_amount_paid, {_r('average_amount_paid')} FROM inputs", "inputs"
     ),
     "source_parquet_view": _segment(
-        """CASE WHEN days_since_last_transaction IS NULL THEN 'no safe payment history'
-    WHEN days_since_last_transaction <= 30 THEN '0-30 days since payment' ELSE 'over 30 days since payment' END""",
         "recency_segment",
+        "days_since_last_transaction",
+        [(0, 30, "0-30 days since payment"), (31, 999999, "over 30 days since payment")],
+        "no safe payment history",
     ),
     "source_json_config": statement(
         """SELECT 10.0::DOUBLE AS campaign_capacity_percent, 30.0::DOUBLE AS offer_cost_per_customer,
@@ -500,7 +520,7 @@ FROM budget, (VALUES (1.0::DOUBLE), (2.0), (5.0), (10.0), (15.0), (20.0), (25.0)
         "budget",
     ),
     "sink_parquet_roundtrip": statement(SNAPSHOT_SELECT + "FROM snapshot", "snapshot"),
-    "sink_csv_roundtrip": _segment(RECENCY, "recency_segment"),
+    "sink_csv_roundtrip": _segment("recency_segment", *DRIVERS["churn_by_payment_recency"]),
     "champion_record_json": statement(
         f"""SELECT model AS selected_model, '{SELECTION_RULE}' AS selection_rule, test_customers, {_r('roc_auc')}
 FROM winner""",
@@ -572,13 +592,16 @@ FROM overall o LEFT JOIN quarter q ON q.msno = o.msno""",
         "snapshot",
     ),
     # segments
-    "churn_by_latest_auto_renewal": _segment(AUTO_RENEWAL, "latest_auto_renewal"),
-    "churn_by_payment_recency": _segment(RECENCY, "recency_segment"),
-    "churn_by_transaction_frequency": _segment(FREQUENCY, "payment_frequency_segment"),
+    "churn_by_latest_auto_renewal": _segment("latest_auto_renewal", *DRIVERS["churn_by_latest_auto_renewal"]),
+    "churn_by_payment_recency": _segment("recency_segment", *DRIVERS["churn_by_payment_recency"]),
+    "churn_by_transaction_frequency": _segment(
+        "payment_frequency_segment", *DRIVERS["churn_by_transaction_frequency"]
+    ),
     "churn_by_profile_availability": statement(
-        """SELECT has_transaction_history_flag, has_member_profile_flag, COUNT(*) AS customers,
-    ROUND(100.0 * AVG(is_churn), 2) AS churn_percent
-FROM snapshot GROUP BY 1, 2 ORDER BY churn_percent DESC""",
+        """SELECT CAST(h AS TINYINT) AS has_transaction_history_flag, CAST(p AS TINYINT) AS has_member_profile_flag,
+    COUNT(*) AS customers, ROUND(100.0 * SUM(is_churn) / COUNT(*), 2) AS churn_percent
+FROM (SELECT is_churn, transaction_count_to_cutoff > 0 AS h, city IS NOT NULL AS p FROM snapshot)
+GROUP BY h, p""",
         "snapshot",
     ),
     # model input, splits, preparation
@@ -835,12 +858,7 @@ UNION ALL SELECT 'recommendation_on_grid', CASE WHEN MAX(capacity_percent) IN (1
         f"""SELECT *, CASE segment WHEN '0' THEN 'Auto-renewal is off' WHEN '1' THEN 'Auto-renewal is on'
     WHEN 'no_history' THEN 'No recent payment record'
     WHEN 'no safe payment history' THEN 'No recent payment record' ELSE segment END AS display_label
-FROM (SELECT 'churn_by_latest_auto_renewal' AS driver, {AUTO_RENEWAL} AS segment, COUNT(*) AS customers,
-        ROUND(100.0 * AVG(is_churn), 2) AS churn_percent FROM snapshot GROUP BY 1, 2
-    UNION ALL SELECT 'churn_by_payment_recency', {RECENCY}, COUNT(*), ROUND(100.0 * AVG(is_churn), 2)
-    FROM snapshot GROUP BY 1, 2
-    UNION ALL SELECT 'churn_by_transaction_frequency', {FREQUENCY}, COUNT(*), ROUND(100.0 * AVG(is_churn), 2)
-    FROM snapshot GROUP BY 1, 2)""",
+FROM ({_join([_banded(*parts, driver=name) for name, parts in DRIVERS.items()], chr(10) + "UNION ALL ")})""",
         "snapshot",
     ),
     "model_comparison_feed": statement(

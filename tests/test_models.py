@@ -47,6 +47,14 @@ def test_saved_model_scores_the_same(spark, rows, tmp_path):
     assert sum(r["importance"] for r in table) == pytest.approx(1.0)
 
 
+def test_training_twice_gives_the_same_scores(rows):
+    scores = []
+    for n in (3, 5):
+        features = learners.ordinal_features(rows.repartition(n))
+        scores.append(learners.score(learners.fit_boosted_ordinal(features, learners.QUICK), features.role("test")))
+    assert scores[0].exceptAll(scores[1]).count() == 0
+
+
 def test_baselines_learn(separable):
     models, scores, features = learners.baseline_scores(separable, learners.QUICK)
     assert set(models) == {"logistic_regression", "random_forest"}
