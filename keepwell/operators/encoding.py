@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -17,12 +18,13 @@ from keepwell.session import staged
 BROADCAST_LEVELS = 100_000
 
 
-def numeric_medians(train: DataFrame, features: list[str]) -> DataFrame:
-    """Exact median and missing count per feature, as (feature, median, missing).
+def numeric_statistics(train: DataFrame, features: list[str]) -> DataFrame:
+    """Per feature: rows, missing, exact median, and after median imputation mean and deviation.
 
     An exact percentile aggregate would hold all distinct values of a column in one task. Here
-    the values are counted per (feature, value) and the two middle positions are looked up in
-    running counts. A column without any value has a null median.
+    the values are counted per (feature, value), the two middle positions are looked up in
+    running counts, and the moments are weighted sums over the same counts. A column without any
+    value has a null median.
     """
     pairs = F.array(
         *[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("value")) for f in features]
@@ -37,10 +39,24 @@ def numeric_medians(train: DataFrame, features: list[str]) -> DataFrame:
         for place in (F.floor((F.col("total_n") + 1) / 2), F.floor(F.col("total_n") / 2) + 1)
     )
     medians = curve.filter(middles > 0).groupBy("feature").agg((F.sum(F.col("value") * middles) / 2).alias("median"))
-    missing = counted.groupBy("feature").agg(
-        F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("missing")
+    # One row per feature on the right of each join.
+    imputed = counted.join(F.broadcast(medians), "feature", "left").withColumn(
+        "filled", F.coalesce("value", "median")
     )
-    return missing.join(F.broadcast(medians), "feature", "left")  # one row per feature
+    means = imputed.groupBy("feature").agg(
+        F.sum("n").alias("rows"),
+        F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("missing"),
+        F.first("median").alias("median"),
+        (F.sum(F.col("n") * F.col("filled")) / F.sum("n")).alias("mean"),
+    )
+    means = staged(means, "means")
+    distance = F.col("filled") - F.col("mean")
+    spread = (
+        imputed.join(F.broadcast(means.select("feature", "mean")), "feature")
+        .groupBy("feature")
+        .agg(F.sqrt(F.sum(F.col("n") * distance * distance) / F.sum("n")).alias("deviation"))
+    )
+    return means.join(F.broadcast(spread), "feature")
 
 
 @dataclass
@@ -80,22 +96,21 @@ class NumericPreparation:
     _dropped: list[str] = field(default_factory=list)
 
 
-def learn_numeric(train: DataFrame, features: list[str], scale: bool = False) -> NumericPreparation:
-    learned = {row["feature"]: row for row in numeric_medians(train, features).collect()}  # one row per feature
+def learn_numeric(train: DataFrame, features: list[str]) -> NumericPreparation:
+    learned = {row["feature"]: row for row in numeric_statistics(train, features).collect()}  # one row per feature
     usable = [f for f in features if learned[f]["median"] is not None]
     preparation = NumericPreparation(
         medians={f: learned[f]["median"] for f in usable},
         indicators=[f for f in usable if learned[f]["missing"] > 0],
         _dropped=[f for f in features if f not in usable],
     )
-    if scale:
-        imputed = preparation.impute(train)
-        names = preparation.columns
-        moments = imputed.agg(
-            *[F.avg(n).alias(f"mean_{n}") for n in names], *[F.stddev_pop(n).alias(f"dev_{n}") for n in names]
-        ).first()
-        preparation.means = {n: moments[f"mean_{n}"] for n in names}
-        preparation.deviations = {n: moments[f"dev_{n}"] for n in names}
+    for name in usable:
+        preparation.means[name] = learned[name]["mean"]
+        preparation.deviations[name] = learned[name]["deviation"]
+    for name in preparation.indicators:
+        share = learned[name]["missing"] / learned[name]["rows"]
+        preparation.means[f"missingindicator_{name}"] = share
+        preparation.deviations[f"missingindicator_{name}"] = math.sqrt(share * (1 - share))
     return preparation
 
 

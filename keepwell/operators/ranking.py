@@ -19,6 +19,10 @@ from keepwell.session import staged
 # monotonically_increasing_id puts the partition index above bit 33 and the row below it.
 _ROW_BITS = 33
 
+# Probabilities to twelve places, and totals of them with room for any number of customers.
+_SCORE = "decimal(15,12)"
+_MASS = "decimal(30,12)"
+
 
 def _placed(df: DataFrame, order: Sequence[Column], label: str) -> DataFrame:
     """Sort globally and pin every row's partition and place.
@@ -98,8 +102,7 @@ def score_curve(scored: DataFrame, by: Sequence[str] = (), sums: dict[str, Colum
         *[F.sum(col).alias(name) for name, col in (sums or {}).items()],
     )
     # Exact decimal mass: totals of scores do not depend on the order of addition.
-    mass = F.col("customers") * F.col("risk").cast("decimal(18,12)")
-    levels = levels.withColumn("risk_mass", mass.cast("decimal(38,12)"))
+    levels = levels.withColumn("risk_mass", (F.col("customers") * F.col("risk").cast(_SCORE)).cast(_MASS))
     return running_totals(
         levels, by, [F.desc("risk")], ["customers", "churned", "risk_mass", *(sums or {})]
     )
@@ -138,7 +141,7 @@ def cut_totals(
             (k - before).alias("_need"),
             F.col("customers").alias("_level"),
             F.col("risk").alias("risk_threshold"),
-            (F.col("cum_risk_mass") - F.col("risk_mass")).alias("_above_mass"),
+            (F.col("cum_risk_mass").cast(_MASS) - F.col("risk_mass")).cast(_MASS).alias("_above_mass"),
             *[F.col(m).alias(f"_own_{m}") for m in measures],
             *[(F.col(f"cum_{m}") - F.col(m)).alias(f"_above_{m}") for m in measures],
             "total_customers",
@@ -159,7 +162,7 @@ def cut_totals(
         .groupBy(*by, "capacity_percent")
         .agg(*[F.sum(m).alias(f"_edge_{m}") for m in measures])
     )
-    taken_mass = F.col("_need") * F.col("risk_threshold").cast("decimal(18,12)")
+    taken_mass = (F.col("_need") * F.col("risk_threshold").cast(_SCORE)).cast(_MASS)
     return cuts.join(F.broadcast(edge_totals), [*by, "capacity_percent"], "left").select(
         *by,
         "capacity_percent",

@@ -90,9 +90,8 @@ def _scenario(spark: SparkSession, sf_dir: str) -> Row:
 
 
 def _metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One record per stand-in model: a few rows, written once."""
-    scored = _scored_models(spark, sf_dir)
-    return staged(metrics.tournament_records(metrics.model_metrics(scored)), "metrics")
+    """One record per stand-in model."""
+    return metrics.tournament_records(metrics.model_metrics(_scored_models(spark, sf_dir)))
 
 
 def _spend_grid(spark: SparkSession, sf_dir: str, inputs: DataFrame | None = None) -> tuple[DataFrame, Row]:
@@ -370,13 +369,14 @@ def split_alignment_violations(spark, sf_dir):
 def numeric_medians(spark, sf_dir):
     rows = _rows_with_roles(spark, sf_dir)
     features = model_input.numeric_features(rows.drop("role"))
-    return shown(encoding.numeric_medians(rows.filter("role = 'train'"), features))
+    learned = encoding.numeric_statistics(rows.filter("role = 'train'"), features)
+    return shown(learned.select("feature", "median", "missing"))
 
 
 def _prepared_numeric(spark, sf_dir, scale):
     rows = _rows_with_roles(spark, sf_dir)
     features = model_input.numeric_features(rows.drop("role"))
-    learned = encoding.learn_numeric(rows.filter("role = 'train'"), features, scale)
+    learned = encoding.learn_numeric(rows.filter("role = 'train'"), features)
     imputed = learned.impute(rows)
     return shown((learned.scale(imputed) if scale else imputed).select("msno", *learned.columns))
 
@@ -504,14 +504,14 @@ def champion_selection(spark, sf_dir):
 @query
 def champion_scores(spark, sf_dir):
     scored = _scored_models(spark, sf_dir)
-    measured = staged(metrics.tournament_records(metrics.model_metrics(scored)), "metrics")
+    measured = metrics.tournament_records(metrics.model_metrics(scored))
     return champion.champion_scores(scored, champion.champion(measured))
 
 
 @query
 def tournament_predictions(spark, sf_dir):
     scored = _scored_models(spark, sf_dir)
-    measured = staged(metrics.tournament_records(metrics.model_metrics(scored)), "metrics")
+    measured = metrics.tournament_records(metrics.model_metrics(scored))
     return shown(champion.wide_predictions(scored, list(fixtures.MODEL_SEEDS), champion.champion(measured)))
 
 
@@ -597,7 +597,7 @@ def id_set_difference(spark, sf_dir):
 def dq_contracts(spark, sf_dir):
     built = staged(_snapshot(spark, sf_dir), "snapshot")
     prepared = staged(model_input.model_input(built), "input")
-    measured = _metrics(spark, sf_dir)
+    measured = staged(_metrics(spark, sf_dir), "metrics")
     grid, config = _spend_grid(spark, sf_dir, prepared)
     grid = staged(grid, "grid")
     capacities = config["capacity_grid_percent"]
