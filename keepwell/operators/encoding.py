@@ -67,6 +67,7 @@ class NumericPreparation:
     indicators: list[str]
     means: dict[str, float] = field(default_factory=dict)
     deviations: dict[str, float] = field(default_factory=dict)
+    dropped: list[str] = field(default_factory=list)
 
     @property
     def columns(self) -> list[str]:
@@ -77,12 +78,11 @@ class NumericPreparation:
 
         Features without a single training value are dropped.
         """
-        empty = [c for c in df.columns if c in self._dropped]
         flags = {f"missingindicator_{name}": F.col(name).isNull().cast("int") for name in self.indicators}
         filled = {
             name: F.coalesce(F.col(name).cast("double"), F.lit(median)) for name, median in self.medians.items()
         }
-        return df.withColumns({**flags, **filled}).drop(*empty)
+        return df.withColumns({**flags, **filled}).drop(*self.dropped)
 
     def scale(self, imputed: DataFrame) -> DataFrame:
         """Zero mean and unit population deviation; constants are only centred."""
@@ -93,8 +93,6 @@ class NumericPreparation:
             }
         )
 
-    _dropped: list[str] = field(default_factory=list)
-
 
 def learn_numeric(train: DataFrame, features: list[str]) -> NumericPreparation:
     learned = {row["feature"]: row for row in numeric_statistics(train, features).collect()}  # one row per feature
@@ -102,7 +100,7 @@ def learn_numeric(train: DataFrame, features: list[str]) -> NumericPreparation:
     preparation = NumericPreparation(
         medians={f: learned[f]["median"] for f in usable},
         indicators=[f for f in usable if learned[f]["missing"] > 0],
-        _dropped=[f for f in features if f not in usable],
+        dropped=[f for f in features if f not in usable],
     )
     for name in usable:
         preparation.means[name] = learned[name]["mean"]

@@ -97,8 +97,8 @@ def latest_aggregate() -> Column:
     Nulls order first inside a struct. The payload columns follow the three keys and so settle
     any remaining tie the same way on every run.
     """
-    keys = ["transaction_date_parsed", "is_cancel", "membership_expire_date_parsed"]
-    payload = [F.col(source).alias(name) for name, source in LATEST.items()]
+    keys = ["transaction_date_parsed", F.col("is_cancel").alias("latest_is_cancel"), "membership_expire_date_parsed"]
+    payload = [F.col(source).alias(name) for name, source in LATEST.items() if source != "is_cancel"]
     return F.max(F.struct(*keys, *payload)).alias("latest")
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from keepwell.operators import calibration, champion, encoding, metrics, splitting
 from keepwell.operators.model_input import CATEGORIES, ID, TARGET, numeric_features
-from keepwell.session import staged
+from keepwell.session import ensure_checkpoint_dir, staged
 
 SEED = 42
 
@@ -169,6 +169,8 @@ def fit_forest(features: Features, profile: Profile) -> PipelineModel:
 
 
 def _boosted(features: Features, profile: Profile, **settings) -> PipelineModel:
+    """Hundreds of rounds, each built on the residuals of the last: checkpointed every ten."""
+    ensure_checkpoint_dir(features.rows.sparkSession)
     learner = GBTClassifier(
         labelCol=TARGET, weightCol="boost_weight", stepSize=0.05, seed=SEED, maxBins=_max_bins(features), **settings
     )

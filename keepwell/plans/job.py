@@ -45,6 +45,9 @@ class Run:
     base_rate_band: tuple[float, float] = (0.08, 0.10)
     min_distinct_scores: int = 101
     profile: learners.Profile = field(default_factory=lambda: learners.FULL)
+    transactions: str = "transactions.csv"
+    members: str = "members.csv"
+    labels: str = "labels.csv"
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
@@ -63,9 +66,9 @@ class Run:
 def build_snapshot(run: Run) -> None:
     """Write first, then check the written table, so that the plan runs once."""
     built = customer_snapshot(
-        run.raw_table("labels.csv", schemas.labels()),
-        run.raw_table("transactions.csv", schemas.transactions()),
-        run.raw_table("members.csv", schemas.members()),
+        run.raw_table(run.labels, schemas.labels()),
+        run.raw_table(run.transactions, schemas.transactions()),
+        run.raw_table(run.members, schemas.members()),
         run.cutoff,
     )
     written = sinks.write_parquet(built, run.path("silver/customer_snapshot"))
@@ -278,7 +281,9 @@ STEPS: dict[str, Callable[[Run], None]] = {
 
 def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
-    parser.add_argument("--raw", required=True, help="folder with transactions.csv, members.csv, labels.csv")
+    parser.add_argument("--raw", required=True, help="folder with the three raw tables")
+    for name in ("transactions", "members", "labels"):
+        parser.add_argument(f"--{name}", default=f"{name}.csv", help="file or folder below --raw")
     parser.add_argument("--config", required=True, help="scenario JSON")
     parser.add_argument("--out", required=True)
     parser.add_argument("--cutoff", type=dt.date.fromisoformat, default=dt.date(2017, 1, 31))
@@ -296,6 +301,9 @@ def main(arguments: list[str] | None = None) -> None:
         base_rate_band=tuple(given.base_rate),
         min_distinct_scores=given.min_distinct_scores,
         profile=learners.QUICK if given.quick else learners.FULL,
+        transactions=given.transactions,
+        members=given.members,
+        labels=given.labels,
     )
     for step in given.steps:
         STEPS[step](run)

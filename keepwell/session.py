@@ -23,7 +23,7 @@ def local_session(cores: str = "*", app: str = "keepwell") -> SparkSession:
 
 
 _LOCAL_ROOTS: dict[str, str] = {}
-_STAGED: dict[str, list[str]] = {}
+_HANDED_OUT: dict[str, list[str]] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -43,9 +43,17 @@ def scratch_root(spark: SparkSession) -> str:
     return _LOCAL_ROOTS[app]
 
 
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Long boosting runs cut their lineage by checkpoints, which need a folder to go to."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(f"{scratch_root(spark)}/keepwell-checkpoints")
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path, never used before, under the shared folder."""
-    return f"{scratch_root(spark)}/keepwell-{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/keepwell-{label}-{uuid.uuid4().hex}"
+    _HANDED_OUT.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
@@ -57,13 +65,12 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    _STAGED.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def release_scratch(spark: SparkSession) -> None:
-    """Delete the tables this application staged, once nothing reads them any more."""
+    """Delete what this application wrote to scratch paths, once nothing reads it any more."""
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for path in _STAGED.pop(spark.sparkContext.applicationId, []):
+    for path in _HANDED_OUT.pop(spark.sparkContext.applicationId, []):
         folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         folder.getFileSystem(conf).delete(folder, True)
