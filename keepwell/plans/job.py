@@ -25,6 +25,7 @@ from keepwell.operators import (
     segments,
     splitting,
 )
+from keepwell.operators.history import of_labelled
 from keepwell.operators.model_input import model_input
 from keepwell.operators.snapshot import customer_snapshot, snapshot_summary
 from keepwell.session import release_scratch, staged
@@ -65,9 +66,10 @@ class Run:
 
 def build_snapshot(run: Run) -> None:
     """Write first, then check the written table, so that the plan runs once."""
+    labels = run.raw_table(run.labels, schemas.labels())
     built = customer_snapshot(
-        run.raw_table(run.labels, schemas.labels()),
-        run.raw_table(run.transactions, schemas.transactions()),
+        labels,
+        of_labelled(run.raw_table(run.transactions, schemas.transactions()), labels),
         run.raw_table(run.members, schemas.members()),
         run.cutoff,
     )
