@@ -48,30 +48,32 @@ def class_quotas(counts: DataFrame, by: Sequence[str], size: Column) -> DataFram
 
 
 def flag_first(
-    df: DataFrame, strata: Sequence[str], quotas: DataFrame, flag: str, seed: str = SPLIT_SEED
+    df: DataFrame, size: Column, flag: str, by: Sequence[str] = (), seed: str = SPLIT_SEED
 ) -> DataFrame:
-    """Adds ``flag``: whether a row is among the first ``_quota`` of its stratum in hash order.
+    """Adds ``flag``: whether a row is among the first of its ``by`` group in hash order, classes in proportion.
 
-    A stratum may hold nearly all rows, so it is never sorted as a whole. Counts per hash bucket
-    tell which bucket the quota ends in; only that one, a ten-thousandth of the stratum, is
+    ``size`` rows of each group are shared among the classes; it may use ``_total``, the rows of
+    the group. A class may hold nearly all rows, so it is never sorted as a whole. Counts per hash
+    bucket tell which bucket a quota ends in; only that one, a ten-thousandth of the class, is
     numbered, to find the last row that is in. The rows themselves are then compared with it, in
     one pass and without a shuffle.
     """
+    strata = [*by, TARGET]
     draws = {"_draw": hash_draw(seed, ID), "_bucket": hash_bucket(seed, ID)}
     keys = df.select(*strata, ID).withColumns(draws)
+    buckets = keys.groupBy(*strata, "_bucket").agg(F.count(F.lit(1)).alias("_rows"))
+    quotas = class_quotas(buckets.groupBy(*strata).agg(F.sum("_rows").alias("_rows")), by, size)
     upto = Window.partitionBy(*strata).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
     last_buckets = (
-        # At most 10,000 buckets per stratum, and one quota.
-        keys.groupBy(*strata, "_bucket")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .withColumn("_upto", F.sum("_rows").over(upto))
-        .join(F.broadcast(quotas), [*strata])
+        # At most 10,000 buckets per class, and one quota.
+        buckets.withColumn("_upto", F.sum("_rows").over(upto))
+        .join(F.broadcast(quotas), strata)
         .withColumn("_need", F.col("_quota") - F.col("_upto") + F.col("_rows"))
         .filter(F.col("_need").between(1, F.col("_rows")))
         .select(*strata, "_bucket", "_need")
     )
     order = Window.partitionBy(*strata).orderBy("_draw", ID)
-    # One last row per stratum; none where the quota is zero.
+    # One last row per class; none where the quota is zero.
     last_rows = (
         keys.join(F.broadcast(last_buckets), [*strata, "_bucket"])
         .withColumn("_place", F.row_number().over(order))
@@ -79,20 +81,15 @@ def flag_first(
         .select(*strata, F.struct("_bucket", "_draw", ID).alias("_last"))
     )
     inside = F.struct(draws["_bucket"].alias("_bucket"), draws["_draw"].alias("_draw"), ID) <= F.col("_last")
-    return df.join(F.broadcast(last_rows), [*strata], "left").select(
+    return df.join(F.broadcast(last_rows), strata, "left").select(
         *df.columns, F.coalesce(inside, F.lit(False)).alias(flag)
     )
 
 
-def _class_counts(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    return df.groupBy(*by, TARGET).agg(F.count(F.lit(1)).alias("_rows"))
-
-
 def stratified_split_exact(df: DataFrame, seed: str = SPLIT_SEED, share: float = TEST_SHARE) -> DataFrame:
     """Adds ``split`` with exactly ``ceil(share * n)`` test rows, shared among the classes."""
-    quotas = class_quotas(_class_counts(df), [], F.ceil(F.col("_total") * F.lit(share)))
     return (
-        flag_first(df, [TARGET], quotas, "_test", seed)
+        flag_first(df, F.ceil(F.col("_total") * F.lit(share)), "_test", seed=seed)
         .withColumn("split", F.when(F.col("_test"), F.lit("test")).otherwise(F.lit("train")))
         .drop("_test")
     )
@@ -100,8 +97,7 @@ def stratified_split_exact(df: DataFrame, seed: str = SPLIT_SEED, share: float =
 
 def sample_stratified(df: DataFrame, rows: int, seed: str = SPLIT_SEED) -> DataFrame:
     """At most ``rows`` rows, classes in proportion; a smaller table is kept whole."""
-    quotas = class_quotas(_class_counts(df), [], F.lit(rows))
-    return flag_first(df, [TARGET], quotas, "_kept", seed).filter("_kept").drop("_kept")
+    return flag_first(df, F.lit(rows), "_kept", seed=seed).filter("_kept").drop("_kept")
 
 
 def split_roles(
@@ -130,9 +126,8 @@ def split_roles(
         .when(F.col("role") == "calibration", F.lit(calibration_rows))
         .otherwise(F.col("_total"))
     )
-    quotas = class_quotas(_class_counts(ranged, ["role"]), ["role"], cap)
     return (
-        flag_first(ranged, ["role", TARGET], quotas, "_kept", seed)
+        flag_first(ranged, cap, "_kept", ["role"], seed)
         .withColumn("role", F.when(F.col("_kept"), F.col("role")).otherwise(F.lit("unused")))
         .drop("_kept")
     )
@@ -152,7 +147,7 @@ def class_weights(train: DataFrame) -> DataFrame:
     n = F.sum("_rows").over(group)
     negatives = F.sum(F.when(F.col(TARGET) == 0, F.col("_rows"))).over(group)
     # Two classes, two rows.
-    return _class_counts(train).select(
+    return train.groupBy(TARGET).agg(F.count(F.lit(1)).alias("_rows")).select(
         TARGET,
         F.col("_rows").alias("customers"),
         (n / (2 * F.col("_rows"))).alias("balanced_weight"),

@@ -57,7 +57,7 @@ class Run:
         return f"{self.out}/{name}"
 
     def raw_table(self, name: str, schema) -> DataFrame:
-        return readers.read_csv(self.spark, f"{self.raw}/{name}", schema)
+        return readers.read_raw(self.spark, f"{self.raw}/{name}", schema)
 
     def scenario(self) -> Row:
         """Checked before any customer row is read."""
@@ -285,7 +285,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("--raw", required=True, help="folder with the three raw tables")
     for name in ("transactions", "members", "labels"):
-        parser.add_argument(f"--{name}", default=f"{name}.csv", help="file or folder below --raw")
+        parser.add_argument(f"--{name}", default=f"{name}.csv", help="below --raw; CSV if so named, else Parquet")
     parser.add_argument("--config", required=True, help="scenario JSON")
     parser.add_argument("--out", required=True)
     parser.add_argument("--cutoff", type=dt.date.fromisoformat, default=dt.date(2017, 1, 31))

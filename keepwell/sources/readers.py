@@ -25,6 +25,11 @@ def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = Non
     return df.select(*columns) if columns else df
 
 
+def read_raw(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A raw table by its name's ending: CSV text, else Parquet, which large histories are better kept in."""
+    return read_csv(spark, path, schema) if path.endswith(".csv") else spark.read.schema(schema).parquet(path)
+
+
 def parquet_view(spark: SparkSession, path: str, name: str) -> DataFrame:
     df = spark.read.parquet(path)
     df.createOrReplaceTempView(name)

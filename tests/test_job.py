@@ -14,15 +14,19 @@ RULES = "rule string, violations long"
 def arguments(spark, tmp_path_factory):
     base = tmp_path_factory.mktemp("job")
     for name, table, schema in (
-        ("payments.csv", fixtures.transactions(spark, SF), schemas.transactions()),
+        ("payments", fixtures.transactions(spark, SF), schemas.transactions()),
         ("members.csv", fixtures.members(spark, SF), schemas.members()),
         ("labels.csv", fixtures.labels(spark, SF), schemas.labels()),
     ):
-        table.select(*schema.names).write.option("header", True).csv(str(base / "raw" / name))
+        chosen = table.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+        if name.endswith(".csv"):
+            chosen.write.option("header", True).csv(str(base / "raw" / name))
+        else:
+            chosen.write.parquet(str(base / "raw" / name))
     (base / "scenario.json").write_text(json.dumps(fixtures.scenario(spark, SF).first().asDict()))
     return {
         "--raw": str(base / "raw"),
-        "--transactions": "payments.csv",
+        "--transactions": "payments",
         "--config": str(base / "scenario.json"),
         "--out": str(base / "out"),
         "--cutoff": fixtures.CUTOFF.isoformat(),
