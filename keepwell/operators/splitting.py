@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from keepwell.functions.hashing import BUCKETS, hash_bucket, hash_draw
 from keepwell.operators.model_input import ID, TARGET
+from keepwell.session import staged
 
 # Fixed values of the modelling setup.
 SPLIT_SEED = "split-42|"
@@ -61,13 +62,13 @@ def flag_first(
     strata = [*by, TARGET]
     draws = {"_draw": hash_draw(seed, ID), "_bucket": hash_bucket(seed, ID)}
     keys = df.select(*strata, ID).withColumns(draws)
-    buckets = keys.groupBy(*strata, "_bucket").agg(F.count(F.lit(1)).alias("_rows"))
+    # At most 10,000 rows per class, counted once and used for the quotas and for their ends.
+    buckets = staged(keys.groupBy(*strata, "_bucket").agg(F.count(F.lit(1)).alias("_rows")), "buckets")
     quotas = class_quotas(buckets.groupBy(*strata).agg(F.sum("_rows").alias("_rows")), by, size)
     upto = Window.partitionBy(*strata).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
     last_buckets = (
-        # At most 10,000 buckets per class, and one quota.
         buckets.withColumn("_upto", F.sum("_rows").over(upto))
-        .join(F.broadcast(quotas), strata)
+        .join(F.broadcast(quotas), strata)  # one per class
         .withColumn("_need", F.col("_quota") - F.col("_upto") + F.col("_rows"))
         .filter(F.col("_need").between(1, F.col("_rows")))
         .select(*strata, "_bucket", "_need")
