@@ -18,20 +18,23 @@ from keepwell.session import staged
 BROADCAST_LEVELS = 100_000
 
 
-def numeric_statistics(train: DataFrame, features: list[str]) -> DataFrame:
-    """Per feature: rows, missing, exact median, and after median imputation mean and deviation.
-
-    An exact percentile aggregate would hold all distinct values of a column in one task. Here
-    the values are counted per (feature, value), the two middle positions are looked up in
-    running counts, and the moments are weighted sums over the same counts. A column without any
-    value has a null median.
-    """
+def value_counts(train: DataFrame, features: list[str]) -> DataFrame:
+    """(feature, value, n) over the training rows, null values included; written once."""
     pairs = F.array(
         *[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("value")) for f in features]
     )
-    counted = staged(
+    return staged(
         train.select(F.inline(pairs)).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n")), "values"
     )
+
+
+def numeric_medians(counted: DataFrame) -> DataFrame:
+    """Exact median, missing count and rows per feature of ``value_counts``.
+
+    An exact percentile aggregate would hold all distinct values of a column in one task. Here
+    the two middle positions are looked up in running counts. A column without any value has a
+    null median.
+    """
     curve = running_totals(counted.filter("value IS NOT NULL"), ["feature"], [F.asc("value")], ["n"])
     below = F.col("cum_n") - F.col("n")
     middles = sum(
@@ -39,24 +42,31 @@ def numeric_statistics(train: DataFrame, features: list[str]) -> DataFrame:
         for place in (F.floor((F.col("total_n") + 1) / 2), F.floor(F.col("total_n") / 2) + 1)
     )
     medians = curve.filter(middles > 0).groupBy("feature").agg((F.sum(F.col("value") * middles) / 2).alias("median"))
-    # One row per feature on the right of each join.
-    imputed = counted.join(F.broadcast(medians), "feature", "left").withColumn(
-        "filled", F.coalesce("value", "median")
-    )
-    means = imputed.groupBy("feature").agg(
+    sizes = counted.groupBy("feature").agg(
         F.sum("n").alias("rows"),
         F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("missing"),
-        F.first("median").alias("median"),
-        (F.sum(F.col("n") * F.col("filled")) / F.sum("n")).alias("mean"),
     )
-    means = staged(means, "means")
-    distance = F.col("filled") - F.col("mean")
-    spread = (
-        imputed.join(F.broadcast(means.select("feature", "mean")), "feature")
+    # One row per feature.
+    return sizes.join(F.broadcast(medians), "feature", "left")
+
+
+def numeric_moments(counted: DataFrame, medians: DataFrame) -> DataFrame:
+    """Mean and population deviation per feature, gaps filled by the median: weighted sums of counts."""
+    # One row per feature on the right of each join.
+    filled = counted.join(F.broadcast(medians.select("feature", "median")), "feature").select(
+        "feature", "n", F.coalesce("value", "median").alias("x")
+    )
+    weight = F.sum("n")
+    means = filled.groupBy("feature").agg((F.sum(F.col("n") * F.col("x")) / weight).alias("mean"))
+    distance = F.col("x") - F.col("mean")
+    return (
+        filled.join(F.broadcast(means), "feature")
         .groupBy("feature")
-        .agg(F.sqrt(F.sum(F.col("n") * distance * distance) / F.sum("n")).alias("deviation"))
+        .agg(
+            F.first("mean").alias("mean"),
+            F.sqrt(F.sum(F.col("n") * distance * distance) / weight).alias("deviation"),
+        )
     )
-    return means.join(F.broadcast(spread), "feature")
 
 
 @dataclass
@@ -94,21 +104,24 @@ class NumericPreparation:
         )
 
 
-def learn_numeric(train: DataFrame, features: list[str]) -> NumericPreparation:
-    learned = {row["feature"]: row for row in numeric_statistics(train, features).collect()}  # one row per feature
+def learn_numeric(train: DataFrame, features: list[str], scale: bool = False) -> NumericPreparation:
+    counted = value_counts(train, features)
+    medians = staged(numeric_medians(counted), "medians")
+    learned = {row["feature"]: row for row in medians.collect()}  # one row per feature
     usable = [f for f in features if learned[f]["median"] is not None]
     preparation = NumericPreparation(
         medians={f: learned[f]["median"] for f in usable},
         indicators=[f for f in usable if learned[f]["missing"] > 0],
         dropped=[f for f in features if f not in usable],
     )
-    for name in usable:
-        preparation.means[name] = learned[name]["mean"]
-        preparation.deviations[name] = learned[name]["deviation"]
-    for name in preparation.indicators:
-        share = learned[name]["missing"] / learned[name]["rows"]
-        preparation.means[f"missingindicator_{name}"] = share
-        preparation.deviations[f"missingindicator_{name}"] = math.sqrt(share * (1 - share))
+    if scale:
+        for row in numeric_moments(counted, medians).collect():  # one row per feature
+            preparation.means[row["feature"]] = row["mean"]
+            preparation.deviations[row["feature"]] = row["deviation"]
+        for name in preparation.indicators:
+            share = learned[name]["missing"] / learned[name]["rows"]
+            preparation.means[f"missingindicator_{name}"] = share
+            preparation.deviations[f"missingindicator_{name}"] = math.sqrt(share * (1 - share))
     return preparation
 
 

@@ -67,9 +67,13 @@ def _model_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model_input.model_input(_snapshot(spark, sf_dir))
 
 
-def _rows_with_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Model input with its split, written once for all the passes that training makes."""
-    return staged(splitting.split_roles(staged(_model_input(spark, sf_dir), "input")), "roles")
+def _rows_with_roles(spark: SparkSession, sf_dir: str, roles=splitting.split_roles) -> DataFrame:
+    """Model input with its split, written once for all the passes that training makes.
+
+    A role depends on id and label alone, so it is drawn on the narrow label table.
+    """
+    drawn = roles(staged(fixtures.labels(spark, sf_dir), "labels")).select("msno", "role")
+    return staged(_model_input(spark, sf_dir).join(drawn, "msno"), "rows")
 
 
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -369,14 +373,14 @@ def split_alignment_violations(spark, sf_dir):
 def numeric_medians(spark, sf_dir):
     rows = _rows_with_roles(spark, sf_dir)
     features = model_input.numeric_features(rows.drop("role"))
-    learned = encoding.numeric_statistics(rows.filter("role = 'train'"), features)
-    return shown(learned.select("feature", "median", "missing"))
+    counted = encoding.value_counts(rows.filter("role = 'train'"), features)
+    return shown(encoding.numeric_medians(counted).select("feature", "median", "missing"))
 
 
 def _prepared_numeric(spark, sf_dir, scale):
     rows = _rows_with_roles(spark, sf_dir)
     features = model_input.numeric_features(rows.drop("role"))
-    learned = encoding.learn_numeric(rows.filter("role = 'train'"), features)
+    learned = encoding.learn_numeric(rows.filter("role = 'train'"), features, scale)
     imputed = learned.impute(rows)
     return shown((learned.scale(imputed) if scale else imputed).select("msno", *learned.columns))
 
@@ -651,8 +655,7 @@ def any_column_search(spark, sf_dir):
 
 
 def _baseline(spark, sf_dir, name):
-    rows = splitting.baseline_roles(staged(_model_input(spark, sf_dir), "input"))
-    features = learners.linear_features(staged(rows, "roles"))
+    features = learners.linear_features(_rows_with_roles(spark, sf_dir, splitting.baseline_roles))
     return features, learners.BASELINES[name](features, learners.QUICK)
 
 
