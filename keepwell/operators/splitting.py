@@ -37,8 +37,11 @@ def class_quotas(counts: DataFrame, by: Sequence[str], size: Column) -> DataFram
     group = Window.partitionBy(*by)
     total = F.sum("_rows").over(group)
     sized = counts.withColumn("_total", total).withColumn("_size", F.least(size.cast("bigint"), F.col("_total")))
-    exact = F.col("_rows") * F.col("_size")
-    shared = sized.withColumns({"_whole": F.floor(exact / F.col("_total")), "_rest": exact % F.col("_total")})
+    # Products of two counts outgrow 64 bits long before the counts do.
+    wide = {name: F.col(name).cast("decimal(18,0)") for name in ("_rows", "_size", "_total")}
+    product = wide["_rows"] * wide["_size"]
+    rest = product % wide["_total"]
+    shared = sized.withColumns({"_whole": ((product - rest) / wide["_total"]).cast("bigint"), "_rest": rest})
     by_rest = group.orderBy(F.desc("_rest"), F.asc(TARGET))
     spare = F.col("_size") - F.sum("_whole").over(group)
     return shared.select(

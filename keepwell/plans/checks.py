@@ -436,7 +436,6 @@ SNAPSHOT_SELECT = (
     "SELECT * REPLACE (ROUND(average_amount_paid, 6) AS average_amount_paid, ROUND(auto_renew_rate, 6) AS "
     "auto_renew_rate, ROUND(cancellation_rate, 6) AS cancellation_rate, ROUND(discount_rate, 6) AS discount_rate) "
 )
-OVERALL_SELECT = SNAPSHOT_SELECT
 FRIENDLY = {
     "boosted_ordinal_isotonic_calibrated": "Calibrated boosted trees, ordinal",
     "boosted_nominal_deep_isotonic_calibrated": "Calibrated boosted trees, deep",
@@ -564,7 +563,7 @@ FROM snapshot""",
 FROM snapshot""",
         "snapshot",
     ),
-    "tx_features_overall": statement(OVERALL_SELECT + "FROM overall", "overall"),
+    "tx_features_overall": statement(SNAPSHOT_SELECT + "FROM overall", "overall"),
     "distinct_count_null_aware": statement(
         "SELECT msno, payment_method_count, plan_type_count FROM overall", "overall"
     ),
