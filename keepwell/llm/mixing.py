@@ -48,12 +48,9 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], most: float) -> D
     onward = by_stop.rowsBetween(0, Window.unboundedFollowing)
     # The level if all before this source stop and none from it on does.
     level = (F.col("total") - F.coalesce(F.sum("stop").over(before), F.lit(0.0))) / F.sum("weight").over(onward)
-    leveled = stops.withColumn("level", level).withColumn(
-        "level", F.when(F.col("level") * F.col("weight") <= F.col("stop"), F.col("level"))
-    )
-    # The first source that its level does not stop sets the level of all.
-    common = F.coalesce(F.min("level").over(everything), F.lit(float("inf")))
-    return leveled.withColumn("common", common).select(
+    # Stopping too few or too many sources gives a lower level than stopping the right ones.
+    leveled = stops.withColumn("level", level).withColumn("common", F.max("level").over(everything))
+    return leveled.select(
         "source", "source_size", F.least(F.col("stop"), F.col("common") * F.col("weight")).alias("target")
     )
 
@@ -201,8 +198,7 @@ WITH sized AS (
     / sum(weight) OVER (ORDER BY stop / weight, source NULLS LAST
       ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM stops
 ), targets AS (
-  SELECT source, source_size, least(stop, weight * coalesce(
-      (SELECT min(level) FROM levels WHERE level * weight <= stop), 'infinity'::DOUBLE)) AS target
+  SELECT source, source_size, least(stop, weight * (SELECT max(level) FROM levels)) AS target
   FROM levels
 ), ordered AS (
   SELECT d.doc_id, d.size, t.source_size, t.target,
