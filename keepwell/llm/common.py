@@ -61,8 +61,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     Distributed union-find by alternating stars: every node hands its larger neighbours to the
     smallest node it knows (large star), then its smaller ones (small star), until nothing changes;
     each round halves the depth of the forest. Neighbours are reduced to their minimum map-side, so
-    a hub with any number of neighbours is a sum, never a list, and only joins by node are left,
-    which Spark splits when one is hot. Nulls and self-links are ignored; no edges give no rows.
+    a hub with any number of neighbours is a minimum, never a list, and only joins by node are left;
+    the minima are written first, so that those are of two plain shuffles, which Spark splits where a
+    node is hot. Nulls and self-links are ignored; no edges give no rows.
     """
     links = (
         edges.select(F.least(a, b).alias("lo"), F.greatest(a, b).alias("hi"))
@@ -76,7 +77,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         if now == before or now[0] == 0:
             break
         before = now
-        links = staged(_small_star(_large_star(links)), "links")
+        links = _small_star(staged(_large_star(links), "links"))
+        links = staged(links, "links")
     roots = links.select(F.col("lo").alias("node"), F.col("lo").alias("component")).distinct()
     return links.select(F.col("hi").alias("node"), F.col("lo").alias("component")).unionByName(roots)
 
@@ -93,7 +95,10 @@ def bucket_links(members: DataFrame, judged_with: Callable[[DataFrame], Callable
     components looked at: there, members of different components are paired, which no round has
     shown to be linked.
     """
-    buckets = members.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).filter("low < high")
+    # A written table, so that the join below is of two plain shuffles, of which Spark can split a hot key's.
+    buckets = staged(
+        members.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).filter("low < high"), "shared"
+    )
     crowded = staged(members.join(buckets, "key").distinct(), "buckets")
     judge = judged_with(crowded.select("rep").distinct())
     pairs = crowded.select(F.col("low").alias("a"), F.col("rep").alias("b")).filter("a < b").distinct()
@@ -103,8 +108,9 @@ def bucket_links(members: DataFrame, judged_with: Callable[[DataFrame], Callable
         rows = crowded.join(label.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
             "component", F.coalesce("component", "rep")
         )
+        rows = staged(rows, "labelled")
         split = rows.groupBy("key").agg(F.min("component").alias("c_lo"), F.max("component").alias("c_hi"))
-        rows = staged(rows.join(split.filter("c_lo < c_hi").select("key"), "key"), "split")
+        rows = staged(rows.join(staged(split.filter("c_lo < c_hi").select("key"), "split"), "key"), "open")
         if rows.isEmpty():
             break
         if leader:
@@ -135,14 +141,14 @@ def _large_star(links: DataFrame) -> DataFrame:
     both = links.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(
         links.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
     )
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    least = staged(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
     # Larger neighbours of u only: (lo = u, hi = v).
     moved = links.join(least.withColumnRenamed("u", "lo"), "lo").select(F.col("m").alias("lo"), "hi")
     return moved.filter(F.col("lo") < F.col("hi")).distinct()
 
 
 def _small_star(links: DataFrame) -> DataFrame:
-    least = links.groupBy("hi").agg(F.min("lo").alias("m"))
+    least = staged(links.groupBy("hi").agg(F.min("lo").alias("m")), "least")
     moved = links.join(least, "hi").select(F.col("m").alias("lo"), F.col("lo").alias("hi"))
     kept = least.select(F.col("m").alias("lo"), "hi")
     return moved.filter(F.col("lo") < F.col("hi")).unionByName(kept).distinct()
