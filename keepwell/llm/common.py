@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import gc
 import sys
-from collections.abc import Callable
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -83,50 +82,27 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     return links.select(F.col("hi").alias("node"), F.col("lo").alias("component")).unionByName(roots)
 
 
-def bucket_links(members: DataFrame, judged_with: Callable[[DataFrame], Callable[[DataFrame], DataFrame]]) -> DataFrame:
-    """Links (a, b) among the (rep, key) rows of ``members``: what shares a key is a candidate.
+def shared_buckets(members: DataFrame) -> DataFrame:
+    """(key, rep, low): the (rep, key) rows whose key has two different reps or more, with the smallest of them."""
+    # A written table, so that the join below is of two plain shuffles, of which Spark can split a hot key's.
+    shared = members.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).filter("low < high")
+    shared = staged(shared.select("key", "low"), "shared")
+    return staged(members.join(shared, "key").distinct(), "buckets")
 
-    ``judged_with`` gets the nodes that share a key with another one, (rep), and returns a function
-    that turns pairs (a, b) into (a, b, linked).
 
-    A bucket is never paired out. Each round compares a bucket's members with one leader of it, the
-    smallest, then the largest, so a group of thousands of copies costs as many comparisons as it has
-    members, and what is linked becomes one component. Only then are buckets that still hold several
-    components looked at: there, members of different components are paired, which no round has
-    shown to be linked.
-    """
-    # A written table, so that the join below is of two plain shuffles, of which Spark can split a hot key's.
-    buckets = staged(
-        members.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).filter("low < high"), "shared"
-    )
-    crowded = staged(members.join(buckets, "key").distinct(), "buckets")
-    judge = judged_with(crowded.select("rep").distinct())
-    pairs = crowded.select(F.col("low").alias("a"), F.col("rep").alias("b")).filter("a < b").distinct()
-    found = staged(judge(pairs), "judged")
-    for leader in ("high", None):
-        label = components(found.filter("linked"))
-        rows = crowded.join(label.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
-            "component", F.coalesce("component", "rep")
-        )
-        rows = staged(rows, "labelled")
-        split = rows.groupBy("key").agg(F.min("component").alias("c_lo"), F.max("component").alias("c_hi"))
-        rows = staged(rows.join(staged(split.filter("c_lo < c_hi").select("key"), "split"), "key"), "open")
-        if rows.isEmpty():
-            break
-        if leader:
-            other = label.select(F.col("node").alias("high"), F.col("component").alias("high_component"))
-            pairs = (
-                rows.join(other, "high", "left")
-                .filter(F.col("component") != F.coalesce("high_component", "high"))
-                .select(F.least("rep", "high").alias("a"), F.greatest("rep", "high").alias("b"))
-            )
-        else:
-            mine = rows.select("key", F.col("rep").alias("a"), F.col("component").alias("component_a"))
-            theirs = rows.select("key", F.col("rep").alias("b"), F.col("component").alias("component_b"))
-            pairs = mine.join(theirs, "key").filter("a < b AND component_a <> component_b").select("a", "b")
-        pairs = pairs.distinct().join(found.select("a", "b"), ["a", "b"], "left_anti")
-        found = found.unionByName(staged(judge(pairs), "judged"))
-    return found.filter("linked").select("a", "b")
+def leader_pairs(buckets: DataFrame) -> DataFrame:
+    """(a, b): each member of a bucket with the bucket's smallest; as many pairs as members."""
+    return buckets.select(F.col("low").alias("a"), F.col("rep").alias("b")).filter("a < b").distinct()
+
+
+def open_buckets(buckets: DataFrame, links: DataFrame) -> DataFrame:
+    """(key, rep, component): the buckets that still hold several components under ``links`` (a, b)."""
+    label = components(links).withColumnRenamed("node", "rep")
+    rows = buckets.select("key", "rep").join(label, "rep", "left")
+    rows = staged(rows.withColumn("component", F.coalesce("component", "rep")), "labelled")
+    split = rows.groupBy("key").agg(F.min("component").alias("c_lo"), F.max("component").alias("c_hi"))
+    split = staged(split.filter("c_lo < c_hi").select("key"), "split")
+    return staged(rows.join(split, "key"), "open")
 
 
 def _fingerprint(links: DataFrame) -> tuple:

@@ -9,7 +9,7 @@ after a few steps.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,13 +17,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keepwell.llm import kernels
-from keepwell.llm.common import bucket_links, components, fresh, shipped, staged
+from keepwell.llm.common import components, fresh, leader_pairs, open_buckets, shared_buckets, shipped, staged
 
 SHINGLE = 5
 #: Links need 100 * intersection >= THRESHOLD * union.
 THRESHOLD = 75
 #: 32 bands of 4 rows miss a pair of similarity 0.75 with a chance of (1 - 0.75**4)**32 = 5e-6.
 BANDS, ROWS = 32, 4
+#: Documents and characters on either side of a tile in which documents are compared in memory, about.
+TILE_ROWS, TILE_CHARS = 1024, 1 << 24
 #: Elements in the slot permutations of one batch; each takes one byte a slot.
 _ELEMENTS = 1 << 16
 
@@ -145,6 +147,111 @@ def _verified(shingle: int, threshold: int):
     return verify
 
 
+def _tile_links(sets: list[np.ndarray], component: np.ndarray, block: np.ndarray, threshold: int) -> list[tuple[int, int]]:
+    """Index pairs of one tile that are linked and join two of its components; full sets are compared.
+
+    Shingles are numbered within the tile; one document's numbers are marked and the marks counted for
+    all documents at once. Within a component nothing is compared, and what gets linked is one.
+    """
+    sizes = np.array([len(s) for s in sets])
+    starts = np.cumsum(sizes) - sizes
+    _, numbers = np.unique(np.concatenate(sets), return_inverse=True)
+    component = np.unique(component, return_inverse=True)[1]
+    across = block.min() != block.max()
+    largest = np.bincount(component).argmax()
+    marks = np.zeros(numbers.max() + 1, bool)
+    found = []
+    for y in np.flatnonzero(component != largest):
+        other = component != component[y]
+        if across:
+            other &= block != block[y]
+        if not other.any():
+            continue
+        own = numbers[starts[y] : starts[y] + sizes[y]]
+        marks[own] = True
+        both = np.add.reduceat(marks[numbers], starts)
+        marks[own] = False
+        for x in np.flatnonzero(other & (100 * both >= threshold * (sizes[y] + sizes - both))):
+            if component[x] != component[y]:
+                found.append((x, y))
+                component[component == component[x]] = component[y]
+    return found
+
+
+def _compare_tiles(shingle: int, threshold: int):
+    """Over rows (key, x, y, rep, component, block, text) sorted by tile (key, x, y)."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        letters, rolling = kernels.RollingHash(51), kernels.RollingHash(52)
+        tile, rows = None, []
+        links: list[tuple[int, int]] = []
+
+        def finish() -> None:
+            if len(rows) > 1:
+                rep, component, block, sets = zip(*rows, strict=True)
+                for i, j in _tile_links(list(sets), np.array(component), np.array(block), threshold):
+                    links.append((min(rep[i], rep[j]), max(rep[i], rep[j])))
+
+        def found() -> pa.RecordBatch:
+            a, b = zip(*links, strict=True) if links else ((), ())
+            links.clear()
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+        for batch in batches:
+            for row, data, offsets in kernels.text_slices(batch.column(6)):
+                sets = shingle_sets(data, offsets, shingle, letters, rolling)
+                key, x, y, rep, component, block = (
+                    batch.column(c).slice(row, len(sets)).to_pylist() for c in range(6)
+                )
+                for i, s in enumerate(sets):
+                    if (key[i], x[i], y[i]) != tile:
+                        finish()
+                        tile, rows = (key[i], x[i], y[i]), []
+                    rows.append((rep[i], component[i], block[i], s))
+            if links:
+                yield found()
+        finish()
+        yield found()
+
+    return compare
+
+
+def _links(members: DataFrame, texts: DataFrame, shingle: int, threshold: int) -> DataFrame:
+    """Links (a, b) between the (rep, key) rows of ``members`` that are enough to connect all that is linked.
+
+    Documents with a band in common are candidates. A bucket is never paired out. First its members
+    are compared with the smallest one, as many pairs as members; in a group of thousands of copies
+    that links nearly all. Only buckets that then hold several components go on. Their documents meet
+    in tiles of bounded size, in which each is compared with those of other components in memory;
+    what leaves a tile are the links that join components, fewer than it has documents.
+    """
+    buckets = shared_buckets(members)
+    # Repeated rows count once; they are in one partition already, as the join is by id.
+    wanted = buckets.select("rep").distinct()
+    bodies = staged(texts.join(wanted, texts["doc"] == wanted["rep"], "left_semi").distinct(), "bodies")
+    left = bodies.select(F.col("doc").alias("a"), F.col("text").alias("text_a"))
+    right = bodies.select(F.col("doc").alias("b"), F.col("text").alias("text_b"))
+    compared = leader_pairs(buckets).join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
+    judged = compared.mapInArrow(_verified(shingle, threshold), "a long, b long, linked boolean")
+    first = staged(judged.filter("linked").select("a", "b").distinct(), "first-links")
+
+    rows = open_buckets(buckets, first)
+    lengths = bodies.select(F.col("doc").alias("rep"), F.length("text").alias("chars"))
+    sizes = rows.join(lengths, "rep").groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum("chars").alias("chars"))
+    blocks = F.ceil(F.greatest(F.col("n") / TILE_ROWS, F.col("chars") / TILE_CHARS)).cast("int")
+    sizes = staged(sizes.select("key", blocks.alias("blocks")), "tile-sizes")
+    placed = rows.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    tiles = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "rep", "component", "block"
+    )
+    full = tiles.join(bodies.withColumnRenamed("doc", "rep"), "rep")
+    met = full.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
+    rest = met.select("key", "x", "y", "rep", "component", "block", "text").mapInArrow(
+        _compare_tiles(shingle, threshold), "a long, b long"
+    )
+    return first.unionByName(staged(rest.distinct(), "more-links"))
+
+
 def near_duplicates(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -183,20 +290,7 @@ def near_duplicates(
         .select(F.col("doc").alias("rep"), F.explode("bands").alias("key"))
         .distinct()
     )
-
-    def judged_with(wanted: DataFrame) -> Callable[[DataFrame], DataFrame]:
-        # Repeated rows count once; they are in one partition already, as the join is by id.
-        bodies = staged(texts.join(wanted, texts["doc"] == wanted["rep"], "left_semi").distinct(), "bodies")
-        left = bodies.select(F.col("doc").alias("a"), F.col("text").alias("text_a"))
-        right = bodies.select(F.col("doc").alias("b"), F.col("text").alias("text_b"))
-
-        def judge(pairs: DataFrame) -> DataFrame:
-            compared = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
-            return compared.mapInArrow(_verified(shingle, threshold), "a long, b long, linked boolean")
-
-        return judge
-
-    links = bucket_links(members, judged_with)
+    links = _links(members, texts, shingle, threshold)
     copies = grouped.filter("rep < doc").select(F.col("rep").alias("a"), F.col("doc").alias("b"))
     label = components(links.unionByName(copies))
     out = signed.select("doc", "n_shingles").join(label.withColumnRenamed("node", "doc"), "doc", "left")
