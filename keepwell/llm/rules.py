@@ -25,8 +25,8 @@ CLASSES = {
     "upper": r"\p{Lu}",
     "digit": r"\p{Nd}",
     "space": r"\s",
-    "symbol": r"#*$%&|<>",
-    "mark": r"\p{P}\p{S}&&[^#*$%&|<>]",
+    "symbol": SYMBOLS,
+    "mark": r"\p{P}\p{S}",  # less the symbols, which are all among them
 }
 MOST_CLASS_DISTANCE, LEAST_CHARACTERS = 0.29, 100
 MOST_WORD_DISTANCE, LEAST_JUDGED_WORDS = 0.42, 50
@@ -38,12 +38,13 @@ UNKNOWN = ""
 
 
 def characters_of(text: Column, cls: str) -> Column:
-    return F.length(F.regexp_replace(text, f"[^{cls}]+" if "&&" not in cls else f"(?:(?![{cls}])(?s:.))+", ""))
+    return F.length(F.regexp_replace(text, f"[^{cls}]+", ""))
 
 
 def class_counts(text: Column) -> Column:
-    counted = [characters_of(text, c).cast("double") for c in CLASSES.values()]
-    return F.array(*counted)
+    counted = {name: characters_of(text, c).cast("double") for name, c in CLASSES.items()}
+    counted["mark"] -= counted["symbol"]
+    return F.array(*counted.values())
 
 
 def with_rest(counts: Column, total: Column) -> Column:
@@ -66,7 +67,7 @@ def js_distance(p: Column, q: Column) -> Column:
         F.lit(0.0),
         lambda s, v: s + (part(v["a"], (v["a"] + v["b"]) / 2) + part(v["b"], (v["a"] + v["b"]) / 2)) / 2,
     )
-    return F.sqrt(F.greatest(divergence, F.lit(0.0)))
+    return F.sqrt(F.when(divergence < 0, F.lit(0.0)).otherwise(divergence))
 
 
 def repeated_words(rows: DataFrame, words: str, out: str, window: int = WINDOW) -> DataFrame:
@@ -78,16 +79,9 @@ def repeated_words(rows: DataFrame, words: str, out: str, window: int = WINDOW)
     hashes, runs, order, places = (f"_{out}_{x}" for x in ("hashes", "runs", "order", "places"))
     n = F.greatest(F.size(words) - (window - 1), F.lit(0))
     rows = rows.withColumn(hashes, F.transform(words, lambda w: F.xxhash64(w)))
-    # Runs of doubled length as long as they fit, then single words.
-    run, length = F.col(hashes), 1
-    while length * 2 <= window:
-        size = F.greatest(F.size(words) - (2 * length - 1), F.lit(0))
-        run = F.zip_with(F.slice(run, 1, size), F.slice(run, length + 1, size), lambda a, b: F.xxhash64(a, b))
-        length *= 2
-    for at in range(length, window):
-        size = F.greatest(F.size(words) - at, F.lit(0))
-        run = F.zip_with(F.slice(run, 1, size), F.slice(hashes, at + 1, size), lambda a, b: F.xxhash64(a, b))
-    rows = rows.withColumn(runs, F.slice(run, 1, n))
+    # The hashes of a window's words, shifted against each other, side by side.
+    shifted = F.arrays_zip(*[F.slice(hashes, at + 1, n).alias(f"w{at}") for at in range(window)])
+    rows = rows.withColumn(runs, F.transform(shifted, lambda w: F.xxhash64(w)))
     numbered = F.sort_array(F.transform(runs, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
     rows = rows.withColumn(
         order, F.when(F.size(F.array_distinct(runs)) < F.size(runs), numbered).otherwise(F.slice(numbered, 1, 0))
@@ -185,8 +179,9 @@ def quality_verdicts(
     # At most 1000 languages of at most 250 words.
     joined = rows.join(F.broadcast(references), F.col("lang") == F.col("ref_lang"), "left")
     counted = base_counts(joined, "text").withColumn("common", F.filter("words", lambda w: F.array_contains("ref_words", w)))
+    # ``common`` is named twice, so that Spark computes it once and not inside the function.
     counts = F.transform(
-        "ref_words", lambda r: F.size(F.filter("common", lambda w: w == r)).cast("double")
+        "ref_words", lambda r: (F.size("common") - F.size(F.array_remove("common", r))).cast("double")
     )
     judged = (
         counted.withColumns({"classes": class_counts(F.col("text")), "chars": F.length("text").cast("double"), "counts": counts})
