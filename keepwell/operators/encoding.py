@@ -15,7 +15,6 @@ from keepwell.operators.model_input import CATEGORIES
 from keepwell.operators.ranking import rank_rows, running_totals
 from keepwell.session import staged
 
-BROADCAST_LEVELS = 100_000
 
 
 def value_counts(train: DataFrame, features: list[str]) -> DataFrame:
@@ -138,16 +137,15 @@ def ordinal_levels(train: DataFrame) -> DataFrame:
 def ordinal_encode(df: DataFrame, levels: DataFrame) -> DataFrame:
     """Adds ``<category>_code``; levels that training did not have become -1.
 
-    The level tables are broadcast when their counted size allows; beyond that the joins are left
-    to the engine, which splits the hot levels.
+    How the level tables are joined is left to the engine, which knows the size of the written table
+    and splits hot levels where it shuffles.
     """
     levels = staged(levels, "levels")
-    small = levels.count() <= BROADCAST_LEVELS
     for category in CATEGORIES:
         codes = levels.filter(F.col("category") == category).select(
             F.col("level").alias(category), F.col("code").alias(f"{category}_code")
         )
-        df = df.join(F.broadcast(codes) if small else codes, category, "left").fillna(-1, subset=[f"{category}_code"])
+        df = df.join(codes, category, "left").fillna(-1, subset=[f"{category}_code"])
     return df
 
 

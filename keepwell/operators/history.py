@@ -8,9 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keepwell.functions.columns import compact_date, ratio
-from keepwell.session import staged
-
-BROADCAST_IDS = 2_000_000
 
 LATEST = {
     "latest_payment_method_id": "payment_method_id",
@@ -35,14 +32,10 @@ def parsed(transactions: DataFrame) -> DataFrame:
 def of_labelled(transactions: DataFrame, labels: DataFrame) -> DataFrame:
     """Payments of labelled customers, filtered before anything is aggregated or shuffled.
 
-    Worth it when many paying customers carry no label. The id list is broadcast only when its
-    counted size allows; beyond that the rows stay, and the left join from the labels drops them
-    later with the same snapshot.
+    Worth it when many paying customers carry no label. The engine picks the join by the size of the
+    id list; the snapshot is the same without it.
     """
-    ids = staged(labels.select("msno").distinct(), "ids")
-    if ids.count() > BROADCAST_IDS:
-        return transactions
-    return transactions.join(F.broadcast(ids), "msno", "left_semi")
+    return transactions.join(labels.select("msno"), "msno", "left_semi")
 
 
 def history_as_of(transactions: DataFrame, cutoff: dt.date) -> DataFrame:

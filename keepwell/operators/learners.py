@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keepwell.operators import calibration, champion, encoding, metrics, splitting
-from keepwell.operators.model_input import CATEGORIES, ID, TARGET, category_domain, numeric_features
+from keepwell.operators.model_input import CATEGORIES, ID, TARGET, numeric_features
 from keepwell.session import ensure_checkpoint_dir, staged
 
 SEED = 42
@@ -116,22 +116,21 @@ def ordinal_features(rows: DataFrame) -> Features:
 
 
 def nominal_features(rows: DataFrame) -> Features:
-    """Imputed numerics with native categories over one level domain for all roles.
+    """Imputed numerics with native categories.
 
-    An indexer holds its levels on the driver. A domain too wide for that is cut to the levels of
-    the capped train role; the trees have learned nothing about the others anyway.
+    Levels are learned on the train role, whose documented cap also bounds what the indexer holds on
+    the driver; levels that training did not have share one more index at every size of the data.
     """
     rows = _used(rows)
     train = rows.filter(F.col("role") == "train")
     numeric = encoding.learn_numeric(train, _numeric(rows))
     known = encoding.with_known_categories(numeric.impute(rows))
-    widest = category_domain(rows).groupBy("category").count().agg(F.max("count")).first()[0]
     indexer = StringIndexer(
         inputCols=list(CATEGORIES),
         outputCols=[f"{c}_index" for c in CATEGORIES],
         handleInvalid="keep",
         stringOrderType="alphabetAsc",
-    ).fit(known if widest <= encoding.BROADCAST_LEVELS else known.filter(F.col("role") == "train"))
+    ).fit(known.filter(F.col("role") == "train"))
     return _assembled(
         indexer.transform(known), [*numeric.columns, *[f"{c}_index" for c in CATEGORIES]], "nominal"
     )
@@ -285,6 +284,8 @@ def run_tournament(rows: DataFrame, profile: Profile = FULL) -> Tournament:
         part, calibrators[name] = calibrated_scores(name, models[name], prepared[prepare])
         scores = part if scores is None else scores.unionByName(part)
     scores = staged(scores, "tournament")
-    splitting.require_aligned(scores.select(ID).distinct(), rows.filter(F.col("role") == "test"))
+    test = rows.filter(F.col("role") == "test")
+    for name in models:
+        splitting.require_aligned(scores.filter(F.col("model") == name), test)
     measured = staged(metrics.tournament_records(metrics.model_metrics(scores)), "records")
     return Tournament(scores, measured, champion.champion(measured), models, calibrators)

@@ -113,8 +113,12 @@ def champion_contract(metrics: DataFrame, selected: DataFrame) -> DataFrame:
 
 
 def recommendation_contracts(grid: DataFrame, recommended: DataFrame, budget: float, capacities: list[float]) -> DataFrame:
-    """The recommendation fits the budget, beats every feasible option and lies on the grid."""
+    """The recommendation fits the budget, beats every feasible option and lies on the grid.
+
+    Where no option is affordable, the rule is that nothing is recommended.
+    """
     best = grid.filter("within_budget").agg(F.max("scenario_net_value")).scalar()
+    nothing = best.isNull() & (F.col("n") == 0)
     on_grid = F.col("capacity").isin([float(c) for c in capacities])
     return recommended.agg(
         F.count(F.lit(1)).alias("n"),
@@ -123,10 +127,10 @@ def recommendation_contracts(grid: DataFrame, recommended: DataFrame, budget: fl
         F.max("capacity_percent").alias("capacity"),
     ).select(
         _rules(
-            recommendation_single=_missed(F.col("n") == 1),
-            recommendation_affordable=_missed(F.col("spend") <= F.lit(float(budget))),
-            recommendation_is_best=_missed(F.col("net") == best),
-            recommendation_on_grid=_missed(on_grid),
+            recommendation_single=_missed(nothing | (best.isNotNull() & (F.col("n") == 1))),
+            recommendation_affordable=_missed(nothing | (F.col("spend") <= F.lit(float(budget)))),
+            recommendation_is_best=_missed(nothing | (F.col("net") == best)),
+            recommendation_on_grid=_missed(nothing | on_grid),
         )
     )
 

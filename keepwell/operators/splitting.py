@@ -169,13 +169,16 @@ def class_ratio(train: DataFrame) -> DataFrame:
 
 
 def alignment_violations(predictions: DataFrame, test: DataFrame) -> DataFrame:
-    """Ids on one side only; empty when stored predictions cover exactly the test split."""
-    left, right = predictions.select(ID), test.select(ID)
-    return (
-        left.join(right, ID, "left_anti")
-        .withColumn("violation", F.lit("prediction without test row"))
-        .unionByName(right.join(left, ID, "left_anti").withColumn("violation", F.lit("test row without prediction")))
+    """Ids that are not there exactly once on both sides; empty when predictions and test rows match one to one."""
+    counts = [side.groupBy(ID).agg(F.count(F.lit(1)).alias(n)) for side, n in ((predictions, "_left"), (test, "_right"))]
+    reason = (
+        F.when(F.col("_right").isNull(), F.lit("prediction without test row"))
+        .when(F.col("_left").isNull(), F.lit("test row without prediction"))
+        .when(F.col("_left") > 1, F.lit("repeated prediction"))
+        .when(F.col("_right") > 1, F.lit("repeated test row"))
     )
+    joined = counts[0].join(counts[1], ID, "full_outer").withColumn("violation", reason)
+    return joined.filter(F.col("violation").isNotNull()).select(ID, "violation")
 
 
 def require_aligned(predictions: DataFrame, test: DataFrame) -> None:

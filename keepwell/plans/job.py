@@ -307,9 +307,11 @@ def main(arguments: list[str] | None = None) -> None:
         members=given.members,
         labels=given.labels,
     )
-    for step in given.steps:
-        STEPS[step](run)
-    release_scratch(run.spark)
+    try:
+        for step in given.steps:
+            STEPS[step](run)
+    finally:
+        release_scratch(run.spark)
 
 
 if __name__ == "__main__":

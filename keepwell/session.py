@@ -35,7 +35,8 @@ def scratch_root(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster.")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL_ROOTS:

@@ -193,3 +193,11 @@ def test_campaign_curve_marks_the_recommendation(spark):
     assert max(r["share_of_best_net_value"] for r in curve) == 1.0
     empty = feeds.campaign_curve(grid, grid.filter(F.lit(False))).collect()
     assert not any(r["recommended"] for r in empty)
+
+
+def test_nothing_affordable_is_no_violation(spark):
+    grid = spark.createDataFrame([(5.0, 100.0, 10.0, False)], "capacity_percent double, campaign_spend double, scenario_net_value double, within_budget boolean")
+    none = quality.recommendation_contracts(grid, grid.limit(0), 50.0, [5.0])
+    assert {r["violations"] for r in none.collect()} == {0}
+    wrong = {r["rule"]: r["violations"] for r in quality.recommendation_contracts(grid, grid, 50.0, [5.0]).collect()}
+    assert wrong["recommendation_single"] == 1 and wrong["recommendation_affordable"] == 1

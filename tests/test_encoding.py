@@ -63,15 +63,6 @@ def test_unseen_levels(spark):
     assert vectors == [[0.0, 1.0, 0.0], [0.0, 0.0, 0.0], [1.0, 0.0, 0.0]]
 
 
-def test_join_beyond_the_broadcast_limit_gives_the_same_codes(spark, monkeypatch):
-    train = categories(spark, [str(i % 40) for i in range(200)])
-    levels = encoding.ordinal_levels(train)
-    small = encoding.ordinal_encode(train, levels)
-    monkeypatch.setattr(encoding, "BROADCAST_LEVELS", 3)
-    large = encoding.ordinal_encode(train, levels)
-    assert small.exceptAll(large.select(*small.columns)).count() == 0
-
-
 def test_null_category_is_unknown(spark):
     train = categories(spark, ["1", "2"]).withColumn("city_category", F.lit(None).cast("string"))
     assert ("city_category", "unknown") in {
