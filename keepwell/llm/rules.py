@@ -83,9 +83,8 @@ def repeated_words(rows: DataFrame, words: str, out: str, window: int = WINDOW)
     shifted = F.arrays_zip(*[F.slice(hashes, at + 1, n).alias(f"w{at}") for at in range(window)])
     rows = rows.withColumn(runs, F.transform(shifted, lambda w: F.xxhash64(w)))
     numbered = F.sort_array(F.transform(runs, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    rows = rows.withColumn(
-        order, F.when(F.size(F.array_distinct(runs)) < F.size(runs), numbered).otherwise(F.slice(numbered, 1, 0))
-    )
+    none = F.array().cast("array<struct<h:bigint,i:int>>")
+    rows = rows.withColumn(order, F.when(F.size(F.array_distinct(runs)) < F.size(runs), numbered).otherwise(none))
     twice = F.transform(
         order,
         lambda s, k: F.when(
