@@ -34,6 +34,8 @@ MOST_WORD_DISTANCE, LEAST_JUDGED_WORDS = 0.42, 50
 COMMON_SHARE = 0.004
 #: A language has a reference if it is at least this share of all words, so there are 1000 at most.
 LANGUAGE_SHARE = 0.001
+#: Slots by hash, in which a language's common words are looked up.
+SLOTS = 256
 UNKNOWN = ""
 
 
@@ -41,8 +43,12 @@ def characters_of(text: Column, cls: str) -> Column:
     return F.length(F.regexp_replace(text, f"[^{cls}]+", ""))
 
 
-def class_counts(text: Column) -> Column:
-    counted = {name: characters_of(text, c).cast("double") for name, c in CLASSES.items()}
+def class_counts(text: Column, known: dict[str, Column] | None = None) -> Column:
+    """Counts by class; those in ``known`` need no look at the text."""
+    known = known or {}
+    counted = {
+        name: (known[name] if name in known else characters_of(text, c)).cast("double") for name, c in CLASSES.items()
+    }
     counted["mark"] -= counted["symbol"]
     return F.array(*counted.values())
 
@@ -54,31 +60,81 @@ def with_rest(counts: Column, total: Column) -> Column:
 
 def js_distance(p: Column, q: Column) -> Column:
     """Jensen-Shannon distance of two histograms of equal length; null if either is empty."""
-    total = [F.aggregate(x, F.lit(0.0), lambda a, v: a + v) for x in (p, q)]
-    shares = F.zip_with(
-        p, q, lambda a, b: F.struct(F.try_divide(a, total[0]).alias("a"), F.try_divide(b, total[1]).alias("b"))
-    )
+
+    def total(x: Column) -> Column:
+        return F.aggregate(x, F.lit(0.0), lambda a, v: a + v)
 
     def part(x: Column, m: Column) -> Column:
         return F.when(x > 0, x * F.log2(x / m)).otherwise(F.when(x.isNotNull(), F.lit(0.0)))
 
-    divergence = F.aggregate(
-        shares,
-        F.lit(0.0),
-        lambda s, v: s + (part(v["a"], (v["a"] + v["b"]) / 2) + part(v["b"], (v["a"] + v["b"]) / 2)) / 2,
+    def divergence(s: Column) -> Column:
+        shares = F.zip_with(
+            s["p"], s["q"], lambda a, b: F.struct(F.try_divide(a, s["a"]).alias("a"), F.try_divide(b, s["b"]).alias("b"))
+        )
+        return F.aggregate(
+            shares,
+            F.lit(0.0),
+            lambda d, v: d + (part(v["a"], (v["a"] + v["b"]) / 2) + part(v["b"], (v["a"] + v["b"]) / 2)) / 2,
+        )
+
+    # An array of one struct, so that the totals are summed once and not for every element.
+    once = F.array(F.struct(p.alias("p"), q.alias("q"), total(p).alias("a"), total(q).alias("b")))
+    found = F.get(F.transform(once, divergence), F.lit(0))
+    return F.sqrt(F.when(found < 0, F.lit(0.0)).otherwise(found))
+
+
+def common_word_counts(rows: DataFrame, hashes: str) -> DataFrame:
+    """Adds ``common``, (i, n) of the reference's words in the text: number i occurs n times.
+
+    A word's slot in the reference holds the few words it may be, so a text costs what its words
+    cost, however long the reference is.
+    """
+
+    def number(h: Column) -> Column:
+        slot = F.pmod(h, F.lit(SLOTS)).cast("int")
+        start = F.get("ref_starts", slot)
+        held = F.get("ref_starts", slot + 1) - start
+        at = F.array_position(F.slice("ref_hashes", start + 1, held), h).cast("int")
+        return F.when((held > 0) & (at > 0), start + at - 1)
+
+    rows = rows.withColumn("_met", F.sort_array(F.filter(F.transform(hashes, number), lambda i: i.isNotNull())))
+    ends = F.transform(
+        "_met",
+        lambda i, k: F.when(
+            ~i.eqNullSafe(F.get(F.col("_met"), k + 1)), F.struct(i.alias("i"), (k + 1).alias("end"))
+        ),
+    )
+    rows = rows.withColumn("_ends", F.filter(ends, lambda x: x.isNotNull()))
+    counts = F.transform(
+        "_ends",
+        lambda x, k: F.struct(
+            x["i"].alias("i"), (x["end"] - F.coalesce(F.get(F.col("_ends"), k - 1)["end"], F.lit(0))).alias("n")
+        ),
     )
-    return F.sqrt(F.when(divergence < 0, F.lit(0.0)).otherwise(divergence))
+    return rows.withColumn("common", counts).drop("_met", "_ends")
+
+
+def word_distance(n_words: Column) -> Column:
+    """Distance of ``common`` from the reference; words that the text lacks are one place, all other words another."""
+    met = F.transform("common", lambda x: x["n"].cast("double"))
+    own = F.transform("common", lambda x: F.get("ref_counts", x["i"]))
 
+    def total(x: Column) -> Column:
+        return F.aggregate(x, F.lit(0.0), lambda a, v: a + v)
 
-def repeated_words(rows: DataFrame, words: str, out: str, window: int = WINDOW) -> DataFrame:
+    p = F.concat(met, F.array(n_words.cast("double") - total(met), F.lit(0.0)))
+    q = F.concat(own, F.array(F.col("ref_rest"), F.col("ref_total") - F.col("ref_rest") - total(own)))
+    return js_distance(p, q)
+
+
+def repeated_words(rows: DataFrame, hashes: str, out: str, window: int = WINDOW) -> DataFrame:
     """Adds ``out``: how many words lie in windows of ``window`` words that occur twice or more in their text.
 
     All in the row, without a shuffle: hashes of the windows are sorted with their places, and
     neighbours compared. Only texts with a repeat get that far.
     """
-    hashes, runs, order, places = (f"_{out}_{x}" for x in ("hashes", "runs", "order", "places"))
-    n = F.greatest(F.size(words) - (window - 1), F.lit(0))
-    rows = rows.withColumn(hashes, F.transform(words, lambda w: F.xxhash64(w)))
+    runs, order, places = (f"_{out}_{x}" for x in ("runs", "order", "places"))
+    n = F.greatest(F.size(hashes) - (window - 1), F.lit(0))
     # The hashes of a window's words, shifted against each other, side by side.
     shifted = F.arrays_zip(*[F.slice(hashes, at + 1, n).alias(f"w{at}") for at in range(window)])
     rows = rows.withColumn(runs, F.transform(shifted, lambda w: F.xxhash64(w)))
@@ -97,22 +153,23 @@ def repeated_words(rows: DataFrame, words: str, out: str, window: int = WINDOW)
         lambda p, k: F.least(F.coalesce(F.get(F.col(places), k + 1) - p, F.lit(window)), F.lit(window)),
     )
     rows = rows.withColumn(out, F.aggregate(covered, F.lit(0).cast("long"), lambda a, x: a + x))
-    return rows.drop(hashes, runs, order, places)
+    return rows.drop(runs, order, places)
 
 
 def base_counts(rows: DataFrame, text: str) -> DataFrame:
-    """Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed and the words themselves."""
+    """Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed and the hashes of the words."""
     body = F.col(text)
     with_word = F.filter(F.split(body, "\n"), lambda x: F.regexp_like(x, F.lit(f"[^{SPACES}]")))
-    rows = rows.withColumns({"words": word_array(body), "lines": with_word}).withColumns(
+    hashes = F.transform(word_array(body), lambda w: F.xxhash64(w))
+    rows = rows.withColumns({"hashes": hashes, "lines": with_word}).withColumns(
         {
-            "n_words": F.size("words").cast("long"),
+            "n_words": F.size("hashes").cast("long"),
             "word_chars": F.length(F.regexp_replace(body, f"[{SPACES}]+", "")).cast("long"),
             "n_symbols": characters_of(body, SYMBOLS).cast("long"),
             "n_dup_lines": (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"),
         }
     )
-    rows = repeated_words(rows.drop("lines"), "words", "n_repeat_words")
+    rows = repeated_words(rows.drop("lines"), "hashes", "n_repeat_words")
     failed = (F.col("n_words") < LEAST_WORDS) | (
         100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words")
     )
@@ -120,26 +177,34 @@ def base_counts(rows: DataFrame, text: str) -> DataFrame:
 
 
 def language_references(rows: DataFrame) -> DataFrame:
-    """(ref_lang, ref_classes, ref_words, ref_counts) from (lang, text): one row per language.
+    """(ref_lang, ref_classes, ref_hashes, ref_counts, ref_starts, ref_total, ref_rest) from (lang, text), one row per language.
 
-    Word counts are summed map-side first. Only words of at least COMMON_SHARE of their language and
+    Words are counted by hash, map-side first. Only words of at least COMMON_SHARE of their language and
     languages of at least LANGUAGE_SHARE of all words are kept, so the table is small whatever the
-    corpus holds; rare words share the last place of ref_counts.
+    corpus holds; ref_rest counts the rare words. The common words go by hash, slot by slot: those of
+    slot s are numbered from ref_starts[s] up to ref_starts[s + 1].
     """
-    counted = rows.select("lang", F.explode(word_array(F.col("text"))).alias("word")).groupBy("lang", "word").count()
-    counted = staged(counted.select("lang", "word", F.col("count").cast("double").alias("n")), "words")
+    words = rows.select("lang", F.explode(word_array(F.col("text"))).alias("word"))
+    counted = words.groupBy("lang", F.xxhash64("word").alias("hash")).count()
+    counted = staged(counted.select("lang", "hash", F.col("count").cast("double").alias("n")), "words")
     totals = counted.groupBy("lang").agg(F.sum("n").alias("total"))
     everything = totals.agg(F.sum("total").alias("everything"))
     known = totals.crossJoin(F.broadcast(everything)).filter(F.col("total") >= LANGUAGE_SHARE * F.col("everything"))
     common = (
         counted.join(F.broadcast(known.drop("everything")), "lang")
         .filter(F.col("n") >= COMMON_SHARE * F.col("total"))
+        .withColumn("slot", F.pmod("hash", F.lit(SLOTS)).cast("int"))
         .groupBy("lang")
-        .agg(F.sort_array(F.collect_list(F.struct("word", "n"))).alias("common"), F.first("total").alias("total"))
+        .agg(F.sort_array(F.collect_list(F.struct("slot", "hash", "n"))).alias("common"), F.first("total").alias("total"))
         .select(
             F.col("lang").alias("ref_lang"),
-            F.col("common.word").alias("ref_words"),
-            with_rest(F.col("common.n"), F.col("total")).alias("ref_counts"),
+            F.col("common.hash").alias("ref_hashes"),
+            F.col("common.n").alias("ref_counts"),
+            F.transform(
+                F.sequence(F.lit(0), F.lit(SLOTS)), lambda s: F.size(F.filter("common", lambda c: c["slot"] < s))
+            ).alias("ref_starts"),
+            F.col("total").alias("ref_total"),
+            (F.col("total") - F.aggregate("common.n", F.lit(0.0), lambda a, n: a + n)).alias("ref_rest"),
         )
     )
     sums = [F.sum(F.col("classes")[i]) for i in range(len(CLASSES))]
@@ -177,27 +242,19 @@ def quality_verdicts(
     references = language_references(rows.select("lang", "text"))
     # At most 1000 languages of at most 250 words.
     joined = rows.join(F.broadcast(references), F.col("lang") == F.col("ref_lang"), "left")
-    counted = base_counts(joined, "text").withColumn("common", F.filter("words", lambda w: F.array_contains("ref_words", w)))
-    # ``common`` is named twice, so that Spark computes it once and not inside the function.
-    counts = F.transform(
-        "ref_words", lambda r: (F.size("common") - F.size(F.array_remove("common", r))).cast("double")
-    )
+    # White space is what separates words.
+    known = {"space": F.col("chars") - F.col("word_chars"), "symbol": F.col("n_symbols")}
     judged = (
-        counted.withColumns({"classes": class_counts(F.col("text")), "chars": F.length("text").cast("double"), "counts": counts})
-        .withColumns(
-            {
-                "classes": with_rest(F.col("classes"), F.col("chars")),
-                "counts": with_rest(F.col("counts"), F.col("n_words").cast("double")),
-            }
-        )
+        common_word_counts(base_counts(joined, "text"), "hashes")
+        .withColumn("chars", F.length("text").cast("double"))
+        .withColumn("classes", class_counts(F.col("text"), known))
+        .withColumn("classes", with_rest(F.col("classes"), F.col("chars")))
         .withColumns(
             {
                 "class_distance": F.when(
                     F.col("chars") >= LEAST_CHARACTERS, js_distance(F.col("classes"), F.col("ref_classes"))
                 ),
-                "word_distance": F.when(
-                    F.col("n_words") >= LEAST_JUDGED_WORDS, js_distance(F.col("counts"), F.col("ref_counts"))
-                ),
+                "word_distance": F.when(F.col("n_words") >= LEAST_JUDGED_WORDS, word_distance(F.col("n_words"))),
             }
         )
     )
