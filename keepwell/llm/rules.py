@@ -43,14 +43,32 @@ def characters_of(text: Column, cls: str) -> Column:
     return F.length(F.regexp_replace(text, f"[^{cls}]+", ""))
 
 
-def class_counts(text: Column, known: dict[str, Column] | None = None) -> Column:
-    """Counts by class; those in ``known`` need no look at the text."""
-    known = known or {}
+def with_characters(rows: DataFrame, text: str) -> DataFrame:
+    """Adds chars, word_chars, n_symbols and ``classes``, the counts by class.
+
+    White space is what separates words. The other classes are looked for in what is left without
+    it and a to z, which are in none of them, so the long text is gone over only twice.
+    """
+    body, left = F.col(text), F.col("_left")
+    rows = rows.withColumn("_left", F.regexp_replace(body, r"[a-z\s]+", "")).withColumns(
+        {
+            "chars": F.length(body).cast("long"),
+            "word_chars": F.length(F.regexp_replace(body, f"[{SPACES}]+", "")).cast("long"),
+            "n_symbols": characters_of(left, CLASSES["symbol"]).cast("long"),
+            "_marks": characters_of(left, CLASSES["mark"]).cast("long"),
+            "_upper": characters_of(left, CLASSES["upper"]).cast("long"),
+            "_digit": characters_of(left, CLASSES["digit"]).cast("long"),
+        }
+    )
     counted = {
-        name: (known[name] if name in known else characters_of(text, c)).cast("double") for name, c in CLASSES.items()
+        "upper": F.col("_upper"),
+        "digit": F.col("_digit"),
+        "space": F.col("chars") - F.col("word_chars"),
+        "symbol": F.col("n_symbols"),
+        "mark": F.col("_marks") - F.col("n_symbols"),
     }
-    counted["mark"] -= counted["symbol"]
-    return F.array(*counted.values())
+    classes = F.array(*[counted[name].cast("double") for name in CLASSES])
+    return rows.withColumn("classes", classes).drop("_left", "_marks", "_upper", "_digit")
 
 
 def with_rest(counts: Column, total: Column) -> Column:
@@ -157,19 +175,17 @@ def repeated_words(rows: DataFrame, hashes: str, out: str, window: int = WINDOW)
 
 
 def base_counts(rows: DataFrame, text: str) -> DataFrame:
-    """Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed and the hashes of the words."""
+    """Adds n_words, n_dup_lines, n_repeat_words, base_failed, the hashes of the words, and ``with_characters``."""
     body = F.col(text)
     with_word = F.filter(F.split(body, "\n"), lambda x: F.regexp_like(x, F.lit(f"[^{SPACES}]")))
     hashes = F.transform(word_array(body), lambda w: F.xxhash64(w))
     rows = rows.withColumns({"hashes": hashes, "lines": with_word}).withColumns(
         {
             "n_words": F.size("hashes").cast("long"),
-            "word_chars": F.length(F.regexp_replace(body, f"[{SPACES}]+", "")).cast("long"),
-            "n_symbols": characters_of(body, SYMBOLS).cast("long"),
             "n_dup_lines": (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"),
         }
     )
-    rows = repeated_words(rows.drop("lines"), "hashes", "n_repeat_words")
+    rows = with_characters(repeated_words(rows.drop("lines"), "hashes", "n_repeat_words"), text)
     failed = (F.col("n_words") < LEAST_WORDS) | (
         100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words")
     )
@@ -209,9 +225,9 @@ def language_references(rows: DataFrame) -> DataFrame:
     )
     sums = [F.sum(F.col("classes")[i]) for i in range(len(CLASSES))]
     classes = (
-        rows.select("lang", class_counts(F.col("text")).alias("classes"), F.length("text").cast("double").alias("chars"))
+        with_characters(rows, "text")
         .groupBy("lang")
-        .agg(F.array(*sums).alias("classes"), F.sum("chars").alias("chars"))
+        .agg(F.array(*sums).alias("classes"), F.sum(F.col("chars").cast("double")).alias("chars"))
         .select("lang", with_rest(F.col("classes"), F.col("chars")).alias("ref_classes"))
     )
     return staged(common.join(classes, F.col("lang") == F.col("ref_lang")).drop("lang"), "references")
@@ -242,13 +258,9 @@ def quality_verdicts(
     references = language_references(rows.select("lang", "text"))
     # At most 1000 languages of at most 250 words.
     joined = rows.join(F.broadcast(references), F.col("lang") == F.col("ref_lang"), "left")
-    # White space is what separates words.
-    known = {"space": F.col("chars") - F.col("word_chars"), "symbol": F.col("n_symbols")}
     judged = (
         common_word_counts(base_counts(joined, "text"), "hashes")
-        .withColumn("chars", F.length("text").cast("double"))
-        .withColumn("classes", class_counts(F.col("text"), known))
-        .withColumn("classes", with_rest(F.col("classes"), F.col("chars")))
+        .withColumn("classes", with_rest(F.col("classes"), F.col("chars").cast("double")))
         .withColumns(
             {
                 "class_distance": F.when(
