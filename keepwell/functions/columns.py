@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -49,3 +49,9 @@ def relabel(col: str | Column, names: dict[str, str]) -> Column:
 def target_count(total: Column, percent: Column) -> Column:
     """Customers in the top ``percent`` of ``total``, rounded up."""
     return F.ceil(total * percent / F.lit(100.0)).cast("bigint")
+
+
+def required(df: DataFrame, name: str) -> Column:
+    """The column ``name``; a job that meets a null in it fails."""
+    missing = F.raise_error(F.lit(f"{name} is null."))
+    return F.coalesce(F.col(name), missing.cast(df.schema[name].dataType)).alias(name)

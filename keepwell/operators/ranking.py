@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from keepwell.functions.columns import target_count
+from keepwell.functions.columns import required, target_count
 from keepwell.session import staged
 
 # monotonically_increasing_id puts the partition index above bit 33 and the row below it.
@@ -94,9 +94,10 @@ def score_curve(scored: DataFrame, by: Sequence[str] = (), sums: dict[str, Colum
     """One row per distinct score, best first, with running counts.
 
     The scores are counted before anything is sorted: plateaus collapse map-side, and calibrated
-    scores leave a few hundred rows. ``sums`` names further per-row quantities to total.
+    scores leave a few hundred rows. ``sums`` names further per-row quantities to total. A null score
+    has no rank, so the job fails.
     """
-    levels = scored.groupBy(*by, "risk").agg(
+    levels = scored.groupBy(*by, required(scored, "risk")).agg(
         F.count(F.lit(1)).alias("customers"),
         F.sum("is_churn").cast("bigint").alias("churned"),
         *[F.sum(col).alias(name) for name, col in (sums or {}).items()],

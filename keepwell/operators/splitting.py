@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from keepwell.functions.columns import required
 from keepwell.functions.hashing import BUCKETS, hash_bucket, hash_draw
 from keepwell.operators.model_input import ID, TARGET
 from keepwell.session import staged
@@ -60,11 +61,11 @@ def flag_first(
     the group. A class may hold nearly all rows, so it is never sorted as a whole. Counts per hash
     bucket tell which bucket a quota ends in; only that one, a ten-thousandth of the class, is
     numbered, to find the last row that is in. The rows themselves are then compared with it, in
-    one pass and without a shuffle.
+    one pass and without a shuffle. A row without a class belongs to no quota, so the job fails.
     """
     strata = [*by, TARGET]
     draws = {"_draw": hash_draw(seed, ID), "_bucket": hash_bucket(seed, ID)}
-    keys = df.select(*strata, ID).withColumns(draws)
+    keys = df.select(*by, required(df, TARGET), ID).withColumns(draws)
     # At most 10,000 rows per class, counted once and used for the quotas and for their ends.
     buckets = staged(keys.groupBy(*strata, "_bucket").agg(F.count(F.lit(1)).alias("_rows")), "buckets")
     quotas = class_quotas(buckets.groupBy(*strata).agg(F.sum("_rows").alias("_rows")), by, size)

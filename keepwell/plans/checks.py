@@ -505,11 +505,11 @@ ORACLES: dict[str, str] = {
     "source_parquet_projection": statement(
         f"SELECT msno, latest_amount_paid, {_r('average_amount_paid')} FROM inputs", "inputs"
     ),
-    "source_parquet_view": _segment(
-        "recency_segment",
-        "days_since_last_transaction",
-        [(0, 30, "0-30 days since payment"), (31, 999999, "over 30 days since payment")],
-        "no safe payment history",
+    "source_parquet_view": statement(
+        """SELECT plan_type_count, COUNT(*) AS customers, CAST(SUM(is_churn) AS BIGINT) AS churned,
+    MAX(total_amount_paid) AS highest_total
+FROM snapshot GROUP BY ALL""",
+        "snapshot",
     ),
     "source_json_config": statement(
         """SELECT 10.0::DOUBLE AS campaign_capacity_percent, 30.0::DOUBLE AS offer_cost_per_customer,
@@ -879,4 +879,10 @@ FROM options o""",
 WHERE regexp_matches(CAST(gender_clean AS VARCHAR), '(?i)^FEM.*e$') ORDER BY msno LIMIT 1""",
         "profile",
     ),
+    "any_column_search_cases": statement(
+        """SELECT 'date' AS search, * FROM
+    (SELECT * FROM profile WHERE strftime(registration_date, '%Y-%m') = '1995-07' ORDER BY msno LIMIT 1)
+UNION ALL SELECT 'nothing', * FROM (SELECT * FROM profile ORDER BY msno DESC LIMIT 1)""",
+        "profile",
+    ),
 }

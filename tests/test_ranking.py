@@ -119,3 +119,9 @@ def test_no_single_partition_sort_of_customers(spark):
     ranked = df.orderBy(F.desc("risk"), F.asc("msno"))
     plan = ranked._jdf.queryExecution().executedPlan().toString()
     assert "rangepartitioning" in plan and "SinglePartition" not in plan
+
+
+def test_null_scores_fail(spark):
+    scored = spark.createDataFrame([(1, 0, 0.5), (2, 1, None)], "msno long, is_churn int, risk double")
+    with pytest.raises(Exception, match="risk is null"):
+        ranking.top_customers(scored, 50.0, "msno").collect()
