@@ -133,6 +133,33 @@ def test_lines_keep_columns_and_rows(spark, table):
     ]
 
 
+UNSPACED = [
+    (2001, "https://www.example.org/a/first-page.html\nhttps://www.other.net/something/else?id=7"),
+    (2002, "https://www.example.org/a/first-page.html?x\nこの文章は空白を含まない一つ目の行です\nこの文章は空白を含まない別の話題について"),
+    (2003, "QUJD" + "😀".join("%05d" % (k * k) for k in range(400)) + "\nfloccinaucinihilipilification alpha\nfloccinaucination alpha"),
+    (2004, "QUJD" + "😀".join("%05d" % (k * k) for k in range(399)) + "\nQUJDREVGR0hJ0123\nQUJDREVGR9999999999\nabc\nabd"),
+    (2005, "あ" * 253 + "いろはにほへとちり\n" + "あ" * 256 + "いろ\n" + "".join("%04d" % k for k in range(65))),
+]
+
+
+@pytest.mark.parametrize("tile", [512, 3])
+def test_lines_compare_every_character(spark, docs, tile, monkeypatch):
+    monkeypatch.setattr(lines, "TILE_ROWS", tile)
+    rows = [*docs, *UNSPACED]
+    got = by_id(lines.line_report(frame(spark, rows)), "removed")
+    expected = brute.removed_lines_by_characters(rows)
+    assert got == {i: (expected.get(i, []),) for i, _ in rows}
+
+
+def test_line_shingles(spark):
+    bodies = ["a", "12345678", "123456789", "x" * 300, *["".join(chr(0x4E00 + k) for k in range(n)) for n in (256, 257, 264, 265, 512, 513, 2000)]]
+    held = spark.createDataFrame([(b,) for b in bodies], "body string").select("body", lines.hashed_shingles(F.col("body")).alias("got"))
+    for row in held.collect():
+        own = sorted({row.body[j : j + 9] for j in range(max(len(row.body) - 8, 1))})
+        hashes = spark.createDataFrame([(x,) for x in own], "x string").select(F.xxhash64("x")).collect()
+        assert list(row.got) == sorted(h[0] for h in hashes)
+
+
 def test_bpe_equals_the_library(table, docs):
     tokenizers = pytest.importorskip("tokenizers")
     reference = tokenizers.Tokenizer.from_file(bpe.vocabulary_path())
