@@ -197,7 +197,8 @@ def language_references(rows: DataFrame) -> DataFrame:
 
     Words are counted by hash, map-side first. Only words of at least COMMON_SHARE of their language and
     languages of at least LANGUAGE_SHARE of all words are kept, so the table is small whatever the
-    corpus holds; ref_rest counts the rare words. The common words go by hash, slot by slot: those of
+    corpus holds; ref_rest counts the rare words. A language without a common word, such as one that
+    does not separate its words, has empty arrays and its classes. The common words go by hash, slot by slot: those of
     slot s are numbered from ref_starts[s] up to ref_starts[s + 1].
     """
     words = rows.select("lang", F.explode(word_array(F.col("text"))).alias("word"))
@@ -219,7 +220,6 @@ def language_references(rows: DataFrame) -> DataFrame:
             F.transform(
                 F.sequence(F.lit(0), F.lit(SLOTS)), lambda s: F.size(F.filter("common", lambda c: c["slot"] < s))
             ).alias("ref_starts"),
-            F.col("total").alias("ref_total"),
             (F.col("total") - F.aggregate("common.n", F.lit(0.0), lambda a, n: a + n)).alias("ref_rest"),
         )
     )
@@ -230,7 +230,21 @@ def language_references(rows: DataFrame) -> DataFrame:
         .agg(F.array(*sums).alias("classes"), F.sum(F.col("chars").cast("double")).alias("chars"))
         .select("lang", with_rest(F.col("classes"), F.col("chars")).alias("ref_classes"))
     )
-    return staged(common.join(classes, F.col("lang") == F.col("ref_lang")).drop("lang"), "references")
+    none = F.array().cast("array<bigint>"), F.array().cast("array<double>"), F.array_repeat(F.lit(0), SLOTS + 1)
+    own = common.select(F.col("ref_lang").alias("lang"), "ref_hashes", "ref_counts", "ref_starts", "ref_rest")
+    known = known.select("lang", F.col("total").alias("ref_total"))
+    return staged(
+        classes.join(known, "lang")
+        .join(own, "lang", "left")
+        .select(
+            F.col("lang").alias("ref_lang"),
+            "ref_classes",
+            *[F.coalesce(c, x).alias(c) for c, x in zip(("ref_hashes", "ref_counts", "ref_starts"), none, strict=True)],
+            "ref_total",
+            F.coalesce("ref_rest", "ref_total").alias("ref_rest"),
+        ),
+        "references",
+    )
 
 
 def quality_verdicts(

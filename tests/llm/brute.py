@@ -1,8 +1,10 @@
 """Plain Python versions of the operators, for small tables."""
 
 import re
+import unicodedata
 from collections import Counter
 from hashlib import sha256
+from math import log2, sqrt
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -112,6 +114,43 @@ def base_counts(text):
     return len(w), sum(map(len, w)), symbols, len(lines) - len(set(lines)), sum(inside), failed
 
 
+def js_distance(p, q):
+    p, q = [x / sum(p) for x in p], [x / sum(q) for x in q]
+    parts = [(x * log2(2 * x / (x + y)) if x else 0) + (y * log2(2 * y / (x + y)) if y else 0) for x, y in zip(p, q, strict=True)]
+    return sqrt(max(0.0, sum(parts) / 2))
+
+
+def character_class(c):
+    if c in "#*$%&|<>":
+        return "symbol"
+    if c in " \t\n\x0b\f\r":
+        return "space"
+    kind = unicodedata.category(c)
+    return {"Lu": "upper", "Nd": "digit"}.get(kind, "mark" if kind[0] in "PS" else "other")
+
+
+def verdicts(rows, common_share=0.004, most_class=0.29, most_word=0.42):
+    """(kept, class distance, word distance) of (id, text, lang)."""
+    classes, counts, out = {}, {}, {}
+    for _, text, lang in rows:
+        classes.setdefault(lang, Counter()).update(map(character_class, text))
+        counts.setdefault(lang, Counter()).update(words(text))
+    for i, text, lang in rows:
+        own, total = Counter(words(text)), sum(counts[lang].values())
+        common = {w: n for w, n in counts[lang].items() if n >= common_share * total}
+        order, found = sorted(classes[lang]), Counter(map(character_class, text))
+        by_class = js_distance([found[c] for c in order], [classes[lang][c] for c in order]) if len(text) >= 100 else None
+        by_word = None
+        if sum(own.values()) >= 50:
+            met = [w for w in own if w in common]
+            rest = total - sum(common.values())
+            p = [own[w] for w in met] + [sum(n for w, n in own.items() if w not in common), 0]
+            by_word = js_distance(p, [common[w] for w in met] + [rest, sum(n for w, n in common.items() if w not in met)])
+        kept = not base_counts(text)[-1] and (by_class or 0) <= most_class and (by_word or 0) <= most_word
+        out[i] = (kept, by_class, by_word)
+    return out
+
+
 def shared_targets(sizes, weights=(5, 2, 1), most=3):
     order = sorted(sizes, key=lambda s: (s is None, s or ""))
     weight = {s: weights[k % len(weights)] for k, s in enumerate(order)}

@@ -206,6 +206,27 @@ def test_rules_reject_other_distributions(spark):
     assert out[9001][0] is False and out[9001][1] > rules.MOST_CLASS_DISTANCE
 
 
+def _verdicts(spark, rows):
+    out = rules.quality_verdicts(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    got, expected = by_id(out, "kept", "class_distance", "word_distance"), brute.verdicts(rows)
+    for i, (kept, *distances) in expected.items():
+        assert got[i][0] is kept
+        assert got[i][1:] == tuple(None if d is None else pytest.approx(d, abs=1e-6) for d in distances)
+    return got
+
+
+GARBAGE = " ".join("XQ%dZ!!%s" % (k * k, "ABCDEFG"[k % 7] * 4) for k in range(14))
+
+
+def test_rules_judge_a_language_without_common_words(spark):
+    rng = random.Random(4)
+    rows = [(i, t, "en") for i, t in corpus(5, 30) if t and len(t) > 300]
+    for i in range(2000, 2020):  # each sentence is a word of its own
+        rows.append((i, " ".join("".join(chr(rng.randint(0x4E00, 0x9000)) for _ in range(12)) + "。" for _ in range(60)), "zh"))
+    got = _verdicts(spark, [*rows, (3000, GARBAGE, "zh")])
+    assert got[3000][0] is False and all(got[i][0] for i in range(2000, 2020))
+
+
 def test_mixing(spark, table, docs):
     out = mixing.mix(table).collect()
     sizes = {}
