@@ -32,8 +32,6 @@ MOST_CLASS_DISTANCE, LEAST_CHARACTERS = 0.29, 100
 MOST_WORD_DISTANCE, LEAST_JUDGED_WORDS = 0.42, 50
 #: A common word is at least this share of its language's words, so a language has 250 of them at most.
 COMMON_SHARE = 0.004
-#: A language has a reference if it is at least this share of all words, so there are 1000 at most.
-LANGUAGE_SHARE = 0.001
 #: Slots by hash, in which a language's common words are looked up.
 SLOTS = 256
 UNKNOWN = ""
@@ -195,20 +193,17 @@ def base_counts(rows: DataFrame, text: str) -> DataFrame:
 def language_references(rows: DataFrame) -> DataFrame:
     """(ref_lang, ref_classes, ref_hashes, ref_counts, ref_starts, ref_total, ref_rest) from (lang, text), one row per language.
 
-    Words are counted by hash, map-side first. Only words of at least COMMON_SHARE of their language and
-    languages of at least LANGUAGE_SHARE of all words are kept, so the table is small whatever the
-    corpus holds; ref_rest counts the rare words. A language without a common word, such as one that
+    Words are counted by hash, map-side first. Every language with a word has a reference, however
+    small its share of the corpus; of its words only those of at least COMMON_SHARE are kept. ref_rest counts the rare words. A language without a common word, such as one that
     does not separate its words, has empty arrays and its classes. The common words go by hash, slot by slot: those of
     slot s are numbered from ref_starts[s] up to ref_starts[s + 1].
     """
     words = rows.select("lang", F.explode(word_array(F.col("text"))).alias("word"))
     counted = words.groupBy("lang", F.xxhash64("word").alias("hash")).count()
     counted = staged(counted.select("lang", "hash", F.col("count").cast("double").alias("n")), "words")
-    totals = counted.groupBy("lang").agg(F.sum("n").alias("total"))
-    everything = totals.agg(F.sum("total").alias("everything"))
-    known = totals.crossJoin(F.broadcast(everything)).filter(F.col("total") >= LANGUAGE_SHARE * F.col("everything"))
+    totals = staged(counted.groupBy("lang").agg(F.sum("n").alias("total")), "totals")
     common = (
-        counted.join(F.broadcast(known.drop("everything")), "lang")
+        counted.join(totals, "lang")
         .filter(F.col("n") >= COMMON_SHARE * F.col("total"))
         .withColumn("slot", F.pmod("hash", F.lit(SLOTS)).cast("int"))
         .groupBy("lang")
@@ -232,7 +227,7 @@ def language_references(rows: DataFrame) -> DataFrame:
     )
     none = F.array().cast("array<bigint>"), F.array().cast("array<double>"), F.array_repeat(F.lit(0), SLOTS + 1)
     own = common.select(F.col("ref_lang").alias("lang"), "ref_hashes", "ref_counts", "ref_starts", "ref_rest")
-    known = known.select("lang", F.col("total").alias("ref_total"))
+    known = totals.select("lang", F.col("total").alias("ref_total"))
     return staged(
         classes.join(known, "lang")
         .join(own, "lang", "left")
@@ -259,8 +254,7 @@ def quality_verdicts(
 
     kept is false if base_failed, if the character classes are further than ``most_class_distance``
     from the language's, or the common words further than ``most_word_distance``. A distance is null,
-    and does not count against a text, below LEAST_CHARACTERS characters or LEAST_JUDGED_WORDS words,
-    and for languages too rare to have a reference. Null languages are one language of their own.
+    and does not count against a text, below LEAST_CHARACTERS characters or LEAST_JUDGED_WORDS words. Null languages are one language of their own.
     A null text is empty: no words, base_failed. Repeated rows give repeated results; an empty table
     gives none. Other columns are not read.
     """
@@ -270,8 +264,8 @@ def quality_verdicts(
         F.coalesce(F.col(lang).cast("string"), F.lit(UNKNOWN)).alias("lang"),
     )
     references = language_references(rows.select("lang", "text"))
-    # At most 1000 languages of at most 250 words.
-    joined = rows.join(F.broadcast(references), F.col("lang") == F.col("ref_lang"), "left")
+    # No hint: the references are a written table, by whose size the join is chosen, and split where a language is hot.
+    joined = rows.join(references, F.col("lang") == F.col("ref_lang"), "left")
     judged = (
         common_word_counts(base_counts(joined, "text"), "hashes")
         .withColumn("classes", with_rest(F.col("classes"), F.col("chars").cast("double")))

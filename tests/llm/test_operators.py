@@ -227,6 +227,14 @@ def test_rules_judge_a_language_without_common_words(spark):
     assert got[3000][0] is False and all(got[i][0] for i in range(2000, 2020))
 
 
+def test_rules_judge_a_small_language_beside_a_large_one(spark):
+    rng = random.Random(6)
+    small = [(i, " ".join("".join(rng.choice("abcdefgh") for _ in range(9)) for _ in range(20)), "xx") for i in range(1, 5)]
+    large = (9, " ".join("w%d" % k for k in range(120_000)), "en")
+    got = _verdicts(spark, [*small, (5, GARBAGE, "xx"), large])
+    assert got[5][0] is False and got[5][1] > rules.MOST_CLASS_DISTANCE
+
+
 def test_mixing(spark, table, docs):
     out = mixing.mix(table).collect()
     sizes = {}
