@@ -268,20 +268,29 @@ def calibrated_scores(
     return tested.select(F.lit(name).alias("model"), ID, TARGET, F.col("calibrated").alias("risk")), calibrator
 
 
-def run_tournament(rows: DataFrame, profile: Profile = FULL) -> Tournament:
+def run_tournament(
+    rows: DataFrame,
+    profile: Profile = FULL,
+    fitted: Callable[[str], tuple[Features, PipelineModel]] | None = None,
+) -> Tournament:
     """Same split, three candidates, calibrate, score, rank by rule.
 
     ``rows`` is the model input with its ``role`` column. The models are trained one after the
-    other; each training run is distributed.
+    other; each training run is distributed. ``fitted`` gives a candidate's features and model where
+    they have been made from the same rows before.
     """
     prepared: dict[Callable, Features] = {}
     models, calibrators, scores = {}, {}, None
     for short, (prepare, fit) in CANDIDATES.items():
-        if prepare not in prepared:
-            prepared[prepare] = prepare(rows)
         name = f"{short}_isotonic_calibrated"
-        models[name] = fit(prepared[prepare], profile)
-        part, calibrators[name] = calibrated_scores(name, models[name], prepared[prepare])
+        if fitted:
+            features, models[name] = fitted(short)
+        else:
+            if prepare not in prepared:
+                prepared[prepare] = prepare(rows)
+            features = prepared[prepare]
+            models[name] = fit(features, profile)
+        part, calibrators[name] = calibrated_scores(name, models[name], features)
         scores = part if scores is None else scores.unionByName(part)
     scores = staged(scores, "tournament")
     test = rows.filter(F.col("role") == "test")

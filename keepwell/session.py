@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,6 +25,7 @@ def local_session(cores: str = "*", app: str = "keepwell") -> SparkSession:
 
 _LOCAL_ROOTS: dict[str, str] = {}
 _HANDED_OUT: dict[str, list[str]] = {}
+_KEPT: dict[SparkSession, dict] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -69,8 +71,18 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def kept(spark: SparkSession, key: tuple, make: Callable[[], object]) -> object:
+    """What ``make`` gave for ``key`` in this session, until its scratch paths are released."""
+    held = _KEPT.setdefault(spark, {})
+    if key not in held:
+        held[key] = make()
+    return held[key]
+
+
 def release_scratch(spark: SparkSession) -> None:
     """Delete what this application wrote to scratch paths, once nothing reads it any more."""
+    for session in [s for s in _KEPT if s.sparkContext is spark.sparkContext]:
+        del _KEPT[session]
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     for path in _HANDED_OUT.pop(spark.sparkContext.applicationId, []):
         folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -1,10 +1,14 @@
+import dataclasses
+
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
+from keepwell import session
 from keepwell.operators import learners, quality, splitting
 from keepwell.operators.model_input import model_input
 from keepwell.operators.snapshot import customer_snapshot
+from keepwell.plans import catalog
 from keepwell.session import staged
 from keepwell.sources import fixtures
 
@@ -92,3 +96,22 @@ def test_rows_beyond_the_caps_are_not_prepared(rows):
     features = learners.ordinal_features(capped)
     assert features.role("unused").count() == 0
     assert features.role("train").count() == 400
+
+
+def test_registered_queries_fit_each_candidate_once_with_the_reported_settings(spark, sf_dir, monkeypatch):
+    fits = []
+
+    def recorded(name, fit):
+        def small(features, profile):
+            fits.append((name, dataclasses.replace(profile, train_partitions=learners.FULL.train_partitions)))
+            return fit(features, dataclasses.replace(learners.QUICK, ordinal_rounds=1, deep_rounds=1, nominal_rounds=1))
+
+        return small
+
+    monkeypatch.setattr(session, "_KEPT", {})
+    monkeypatch.setattr(
+        learners, "CANDIDATES", {n: (prepare, recorded(n, fit)) for n, (prepare, fit) in learners.CANDIDATES.items()}
+    )
+    for name in ("score_boosted_ordinal", "feature_importance_boosted", "model_save_load", "model_tournament", "score_boosted_nominal"):
+        assert catalog.QUERIES[name](spark, sf_dir).count() > 0
+    assert sorted(fits, key=lambda x: x[0]) == [(n, learners.FULL) for n in sorted(learners.CANDIDATES)]
