@@ -23,7 +23,6 @@ from keepwell.llm import kernels
 from keepwell.llm.common import shipped
 
 VOCABULARY = "byte_bpe_50k.json"
-TOKENIZERS = "/opt/tokenizers"
 
 #: How the vocabulary's authors split a text into words.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -33,8 +32,13 @@ _REMEMBERED, _LETTERS = 400_000, 8_000_000
 _NEVER = np.iinfo(np.int64).max
 
 
-def vocabulary_path(folder: str = TOKENIZERS, name: str = VOCABULARY) -> str:
-    return os.path.join(folder, name)
+def vocabulary_path(folder: str | None = None, name: str = VOCABULARY) -> str:
+    """A vocabulary file in a folder, or where the package of public tokenizers keeps it."""
+    if folder is not None:
+        return os.path.join(folder, name)
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def byte_letters() -> list[str]:
@@ -73,6 +77,13 @@ class Vocabulary:
         self.spelled = np.frombuffer(b"".join(spelled), np.uint8)
         self.spelled_at = np.cumsum([0, *map(len, spelled)])
 
+    @classmethod
+    def of(cls, tables: dict) -> Vocabulary:
+        """From the tables of another one: a broadcast holds plain arrays, as tasks may not know this class by name."""
+        made = cls.__new__(cls)
+        made.__dict__.update(tables)
+        return made
+
     def _ranked(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and result of each pair key; _NEVER where no merge has that pair."""
         at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
@@ -193,9 +204,9 @@ class Encoder:
         return ids, begins[np.cumsum([0, *map(len, split)])]
 
 
-def _round_trip(vocabulary):
+def _round_trip(tables):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(vocabulary.value)
+        encoder = Encoder(Vocabulary.of(tables.value))
         for batch in batches:
             texts = batch.column(0)
             for row, _, offsets in kernels.text_slices(texts, kernels.SLICE_BYTES):
@@ -238,7 +249,7 @@ def encode_decode(
     """
     spark = docs.sparkSession
     with open(vocabulary or vocabulary_path(), encoding="utf-8") as f:
-        tables = spark.sparkContext.broadcast(Vocabulary(f.read()))
+        tables = spark.sparkContext.broadcast(vars(Vocabulary(f.read())))
     return docs.select(F.col(text).alias("text"), F.col(doc_id).cast("long").alias("doc")).mapInArrow(
         _round_trip(tables),
         "doc long, n_tokens long, ids_sha256 string, decoded_sha256 string, ids array<int>, decoded string",

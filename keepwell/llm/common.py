@@ -9,6 +9,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from keepwell.session import scratch_path
 from keepwell.session import staged as _staged
 
 #: A word is a run of other characters than ASCII white space.
@@ -21,8 +22,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shipped(module_name: str) -> None:
-    """Let Spark send this module's functions to the executors by value, where the package is not installed."""
-    cloudpickle.register_pickle_by_value(sys.modules[module_name])
+    """Let Spark send this module's functions to the executors by value, where the package is not installed.
+
+    What they call in other modules of the package goes with them, so the whole package is sent so.
+    """
+    for name in (__name__.partition(".")[0], module_name):
+        cloudpickle.register_pickle_by_value(sys.modules[name])
 
 
 def fresh(name: str, columns: list[str]) -> str:
@@ -44,6 +49,21 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return out
 
 
+def written(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """As ``staged``, with the path, so that a round can delete what the one before has written."""
+    spark = df.sparkSession
+    path = scratch_path(spark, f"llm-{label}")
+    df.write.parquet(path)
+    released(spark)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def deleted(spark: SparkSession, path: str) -> None:
+    """Delete a written table that nothing will read any more."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def released(spark: SparkSession) -> None:
     gc.collect()
     spark.sparkContext._jvm.System.gc()

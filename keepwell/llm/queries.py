@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from keepwell.llm import bpe, chat, cotrain, lines, mixing, rules, substrings, superminhash, toxicity, vectors
+from keepwell.llm import (
+    alignment,
+    bpe,
+    chat,
+    codebooks,
+    cotrain,
+    lines,
+    mixing,
+    pages,
+    rules,
+    substrings,
+    superminhash,
+    toxicity,
+    vectors,
+)
 from keepwell.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +69,18 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select(*mixing.QUERY_COLUMNS)
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codebooks.vector_codes(table(spark, sf_dir, "embeddings"))
+
+
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.digest_columns(alignment.aligned(table(spark, sf_dir, "documents"), digests=True))
+
+
+def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.main_text(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -68,6 +94,9 @@ QUERIES: dict[str, Query] = {
         op8_near_dedup,
         op9_embedding_dedup,
         op10_mixing,
+        op11_vector_codes,
+        op12_tokenizer_alignment,
+        op13_html_extraction,
     )
 }
 
