@@ -458,10 +458,10 @@ def aligned(
     """
     written, width = _written(docs, paths, doc_id, text, digests)
     pairs = _counted(written, width)
-    entries = written.filter("dictionary").select("chunk", F.explode("keys").alias("key"))
+    entries = written.filter("dictionary").select(F.col("chunk").alias("of"), F.explode("keys").alias("key"))
     # Both sides are written tables, so that a pair that all chunks hold can be split.
     known = entries.join(pairs, "key")
-    found = written.filter("NOT dictionary").drop("dictionary").groupBy("chunk").cogroup(known.groupBy("chunk"))
+    found = written.filter("NOT dictionary").drop("dictionary").groupBy("chunk").cogroup(known.groupBy("of"))
     out = found.applyInArrow(
         _looked_up,
         "doc long, n_a long, n_b long, n_groups long, n_links long, groups string, n_best long, count_sum long",

@@ -60,28 +60,7 @@ def repeats(docs, window):
 
 
 def removed_lines(docs, shingle=9, threshold=75):
-    places, sets = [], {}
-    for i, t in sorted(docs):
-        for k, line in enumerate((t or "").split("\n")):
-            body = re.sub(r"[ \t\n\x0b\f\r]+", " ", line.lower()).strip(" ")
-            if body:
-                places.append((i, k, body))
-                w = body.split(" ")
-                sets[body] = {" ".join(w[j : j + 2])[:shingle] for j in range(len(w))}
-    u = Union(sets)
-    for a in sets:
-        for b in sets:
-            if a < b and 100 * len(sets[a] & sets[b]) >= threshold * len(sets[a] | sets[b]):
-                u.link(a, b)
-    first, out = {}, {}
-    for i, k, body in places:
-        if first.setdefault(u.find(body), (i, k)) != (i, k):
-            out.setdefault(i, []).append(k)
-    return out
-
-
-def removed_lines_by_characters(docs, shingle=9, threshold=75):
-    """As ``removed_lines``, with a shingle from every character on."""
+    """Of linked lines all but the first; a line's set has a shingle from every character on."""
     places, sets = [], {}
     for i, t in sorted((i, t or "") for i, t in docs):
         for k, line in enumerate(t.split("\n")):

@@ -111,9 +111,7 @@ def test_kept_documents(spark, table, docs):
     assert kept.filter("doc_id IS NULL").count() == 1
 
 
-@pytest.mark.parametrize("tile", [512, 3])
-def test_lines(table, docs, tile, monkeypatch):
-    monkeypatch.setattr(lines, "TILE_ROWS", tile)
+def test_lines(table, docs):
     report = {r.doc_id: r for r in lines.line_report(table).collect()}
     gone = brute.removed_lines(docs)
     for i, text in docs:
@@ -142,12 +140,23 @@ UNSPACED = [
 ]
 
 
-@pytest.mark.parametrize("tile", [512, 3])
-def test_lines_compare_every_character(spark, docs, tile, monkeypatch):
-    monkeypatch.setattr(lines, "TILE_ROWS", tile)
+def test_lines_compare_every_character(spark, docs):
     rows = [*docs, *UNSPACED]
     got = by_id(lines.line_report(frame(spark, rows)), "removed")
-    expected = brute.removed_lines_by_characters(rows)
+    expected = brute.removed_lines(rows)
+    assert got == {i: (expected.get(i, []),) for i, _ in rows}
+
+
+def test_templated_lines(spark):
+    """Lines that share most shingles with many others, and are linked with few of them or none."""
+    rows = [
+        (1, "\n".join(f"line number {n} of the text" for n in range(1500))),
+        (2, "\n".join(f"line number {n} of the text" for n in range(1000, 2000))),
+        (3, "\n".join(f"entry {n * 7919 % 10007:05d}{n:04d} in the long list of titles of this old catalogue" for n in range(300))),
+        (4, "x" * 70_000 + "\n" + "y" * 69_000),
+    ]
+    got = by_id(lines.line_report(spark.createDataFrame(rows, "doc_id long, text string")), "removed")
+    expected = brute.removed_lines(rows)
     assert got == {i: (expected.get(i, []),) for i, _ in rows}
 
 
@@ -157,7 +166,7 @@ def test_line_shingles(spark):
     for row in held.collect():
         own = sorted({row.body[j : j + 9] for j in range(max(len(row.body) - 8, 1))})
         hashes = spark.createDataFrame([(x,) for x in own], "x string").select(F.xxhash64("x")).collect()
-        assert list(row.got) == sorted(h[0] for h in hashes)
+        assert sorted(row.got) == sorted(h[0] for h in hashes)
 
 
 def test_bpe_equals_the_library(table, docs):

@@ -26,5 +26,5 @@ def test_run(spark, sf_dir):
 
 
 def test_names():
-    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{k}" for k in range(1, 11)]
+    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{k}" for k in range(1, 14)]
     assert bpe.vocabulary_path("/x") == "/x/byte_bpe_50k.json"
