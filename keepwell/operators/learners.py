@@ -6,17 +6,20 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keepwell.operators import calibration, champion, encoding, metrics, splitting
+from keepwell.functions.hashing import hash_draw
+from keepwell.operators import boosting, calibration, champion, encoding, metrics, splitting
 from keepwell.operators.model_input import CATEGORIES, ID, TARGET, numeric_features
-from keepwell.session import ensure_checkpoint_dir, staged
+from keepwell.session import staged
 
 SEED = 42
+#: Draws the order of rows that statistics of category levels are taken in.
+STAT_SEED = "statistics"
 
 
 @dataclass(frozen=True)
@@ -32,7 +35,7 @@ class Profile:
     deep_rounds: int = 500
     deep_depth: int = 7
     nominal_rounds: int = 500
-    nominal_depth: int = 5
+    nominal_leaves: int = 31
     train_partitions: int = 32
 
 
@@ -47,7 +50,7 @@ QUICK = Profile(
     deep_rounds=4,
     deep_depth=4,
     nominal_rounds=4,
-    nominal_depth=3,
+    nominal_leaves=6,
     train_partitions=4,
 )
 
@@ -136,14 +139,22 @@ def nominal_features(rows: DataFrame) -> Features:
     )
 
 
-def _numeric(rows: DataFrame) -> list[str]:
-    return numeric_features(rows.drop("role"))
+def statistic_features(rows: DataFrame) -> Features:
+    """Imputed numerics with ordered target statistics of the categories; smoothed by the train role's churn rate."""
+    rows = _used(rows)
+    train = rows.filter(F.col("role") == "train")
+    numeric = encoding.learn_numeric(train, _numeric(rows))
+    known = encoding.with_known_categories(numeric.impute(rows))
+    stats = boosting.ordered_statistics(known, list(CATEGORIES), TARGET, ID, hash_draw(STAT_SEED, ID), churn_rate(train))
+    return _assembled(stats, [*numeric.columns, *[f"{c}_stat" for c in CATEGORIES]], "statistic")
+
+
+def churn_rate(train: DataFrame) -> float:
+    return float(train.agg(F.avg(TARGET)).first()[0] or 0.0)
 
 
-def _max_bins(features: Features) -> int:
-    """Spark trees need a bin per level of the widest category."""
-    attributes = features.rows.schema["features"].metadata["ml_attr"]["attrs"].get("nominal", [])
-    return max([32, *[len(a.get("vals", [])) + 1 for a in attributes]])
+def _numeric(rows: DataFrame) -> list[str]:
+    return numeric_features(rows.drop("role"))
 
 
 def fit_logistic(features: Features, profile: Profile) -> PipelineModel:
@@ -175,39 +186,49 @@ def fit_forest(features: Features, profile: Profile) -> PipelineModel:
     return Pipeline(stages=[learner]).fit(features.training(profile))
 
 
-def _boosted(features: Features, profile: Profile, **settings) -> PipelineModel:
-    """Hundreds of rounds, each built on the residuals of the last: checkpointed every ten."""
-    ensure_checkpoint_dir(features.rows.sparkSession)
-    learner = GBTClassifier(
-        labelCol=TARGET, weightCol="boost_weight", stepSize=0.05, seed=SEED, maxBins=_max_bins(features), **settings
-    )
-    return Pipeline(stages=[learner]).fit(features.training(profile))
+def _boosted(features: Features, profile: Profile, settings: boosting.Settings) -> PipelineModel:
+    model = boosting.fit(features.training(profile), features.names, settings, TARGET, "boost_weight", ID)
+    return PipelineModel([model])
 
 
 def fit_boosted_ordinal(features: Features, profile: Profile) -> PipelineModel:
+    """Level-wise trees; a child needs a sum of hessians."""
     return _boosted(
         features,
         profile,
-        maxIter=profile.ordinal_rounds,
-        maxDepth=profile.ordinal_depth,
-        minInstancesPerNode=20,
-        subsamplingRate=0.8,
-        featureSubsetStrategy="0.8",
+        boosting.Settings(
+            rounds=profile.ordinal_rounds,
+            depth=profile.ordinal_depth,
+            min_hessian=20.0,
+            row_share=0.8,
+            column_share=0.8,
+            seed=SEED,
+        ),
     )
 
 
 def fit_boosted_nominal_deep(features: Features, profile: Profile) -> PipelineModel:
-    return _boosted(features, profile, maxIter=profile.deep_rounds, maxDepth=profile.deep_depth)
+    """Symmetric trees on ordered target statistics of the categories."""
+    return _boosted(
+        features,
+        profile,
+        boosting.Settings(rounds=profile.deep_rounds, depth=profile.deep_depth, symmetric=True, l2=3.0, seed=SEED),
+    )
 
 
 def fit_boosted_nominal(features: Features, profile: Profile) -> PipelineModel:
+    """Best-first trees with splits by category levels; a child needs a number of rows."""
     return _boosted(
         features,
         profile,
-        maxIter=profile.nominal_rounds,
-        maxDepth=profile.nominal_depth,
-        minInstancesPerNode=20,
-        featureSubsetStrategy="0.8",
+        boosting.Settings(
+            rounds=profile.nominal_rounds,
+            leaves=profile.nominal_leaves,
+            min_rows=20,
+            column_share=0.8,
+            average_start=True,
+            seed=SEED,
+        ),
     )
 
 
@@ -217,7 +238,7 @@ BASELINES: dict[str, Callable[[Features, Profile], PipelineModel]] = {
 }
 CANDIDATES: dict[str, tuple[Callable[[DataFrame], Features], Callable[[Features, Profile], PipelineModel]]] = {
     "boosted_ordinal": (ordinal_features, fit_boosted_ordinal),
-    "boosted_nominal_deep": (nominal_features, fit_boosted_nominal_deep),
+    "boosted_nominal_deep": (statistic_features, fit_boosted_nominal_deep),
     "boosted_nominal": (nominal_features, fit_boosted_nominal),
 }
 

@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keepwell.functions.columns import compact_date
+from keepwell.functions.hashing import hash_draw
 from keepwell.operators import (
+    boosting,
     calibration,
     campaign,
     champion,
@@ -684,6 +686,41 @@ def _test_scores(fitted):
     return learners.score(model, features.role("test"))
 
 
+@query
+def target_statistics(spark, sf_dir):
+    """Ordered target statistics of the categories, as the symmetric trees see them."""
+    rows = encoding.with_known_categories(_rows_with_roles(spark, sf_dir).filter("role <> 'unused'"))
+    found = boosting.ordered_statistics(
+        rows,
+        list(model_input.CATEGORIES),
+        model_input.TARGET,
+        model_input.ID,
+        hash_draw(learners.STAT_SEED, model_input.ID),
+        learners.churn_rate(rows.filter("role = 'train'")),
+    )
+    return shown(found.select("msno", "role", *[f"{c}_stat" for c in model_input.CATEGORIES]))
+
+
+@query
+def tournament_contracts(spark, sf_dir):
+    """What holds of every candidate: each test customer scored once, within [0, 1], importances that sum to 1."""
+    found = None
+    for name in learners.CANDIDATES:
+        features, model = _candidate(spark, sf_dir, name)
+        scores = learners.score(model, features.role("test"))
+        total = float(sum(model.stages[-1].featureImportances.toArray()))
+        row = scores.agg(
+            F.lit(name).alias("model"),
+            F.count(F.lit(1)).alias("test_rows"),
+            F.count_distinct("msno").alias("test_customers"),
+            F.count_if(F.col("risk").isNull()).alias("without_score"),
+            F.count_if((F.col("risk") < 0) | (F.col("risk") > 1)).alias("outside"),
+            F.round(F.lit(total), 6).alias("importance"),
+        )
+        found = row if found is None else found.unionByName(row)
+    return found
+
+
 @query
 def score_logistic(spark, sf_dir):
     return _test_scores(_baseline(spark, sf_dir, "logistic_regression"))

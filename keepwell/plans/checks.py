@@ -637,6 +637,24 @@ FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY role, is_churn ORDER BY b, draw,
 JOIN quotas q ON q.role = s.role AND q.is_churn = s.is_churn""",
         "split_label",
     ).replace("\n, ranged", ",\nranged"),
+    "target_statistics": statement(
+        f""", placed AS (SELECT *, {_draw("'statistics'")} AS draw, CASE WHEN role = 'train' THEN is_churn END AS y
+FROM roles WHERE role <> 'unused'),
+prior AS (SELECT AVG(y) AS p FROM placed)
+SELECT msno, role, {_join([_r(f"""CASE WHEN role = 'train'
+    THEN (COALESCE(SUM(y) OVER before_{i}, 0) + p) / (COUNT(y) OVER before_{i} + 1)
+    ELSE (COALESCE(SUM(y) OVER whole_{i}, 0) + p) / (COUNT(y) OVER whole_{i} + 1) END""", c + "_stat") for i, c in enumerate(CATEGORY_SOURCES)], ", ")}
+FROM placed, prior
+WINDOW {_join([f"before_{i} AS (PARTITION BY {c} ORDER BY draw, msno ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), whole_{i} AS (PARTITION BY {c})" for i, c in enumerate(CATEGORY_SOURCES)], ", ")}""",
+        "roles",
+    ).replace("\n, placed", ",\nplaced"),
+    "tournament_contracts": statement(
+        """SELECT m AS model, COUNT(*) AS test_rows, COUNT(DISTINCT msno) AS test_customers, CAST(0 AS BIGINT) AS without_score,
+    CAST(0 AS BIGINT) AS outside, CAST(1 AS DOUBLE) AS importance
+FROM split_label, (VALUES ('boosted_ordinal'), ('boosted_nominal_deep'), ('boosted_nominal')) AS v(m)
+WHERE split = 'test' GROUP BY 1""",
+        "split_label",
+    ),
     "class_weights": statement(
         """SELECT is_churn, c AS customers, ROUND(SUM(c) OVER () / (2.0::DOUBLE * c), 6) AS balanced_weight,
     ROUND(CASE WHEN is_churn = 1 THEN CAST(SUM(CASE WHEN is_churn = 0 THEN c END) OVER () AS DOUBLE) / c

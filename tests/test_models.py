@@ -5,7 +5,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from keepwell import session
-from keepwell.operators import learners, quality, splitting
+from keepwell.operators import boosting, learners, quality, splitting
 from keepwell.operators.model_input import model_input
 from keepwell.operators.snapshot import customer_snapshot
 from keepwell.plans import catalog
@@ -80,7 +80,7 @@ def test_nominal_inputs_reach_the_trees_as_categories(rows):
     features = learners.nominal_features(rows)
     attributes = features.rows.schema["features"].metadata["ml_attr"]["attrs"]
     assert len(attributes["nominal"]) == 5
-    assert learners._max_bins(features) >= 32
+    assert len(boosting.nominal_inputs(features.rows)) == 5
 
 
 def test_levels_are_those_of_the_train_role(rows):
