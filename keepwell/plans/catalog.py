@@ -703,19 +703,21 @@ def target_statistics(spark, sf_dir):
 
 @query
 def tournament_contracts(spark, sf_dir):
-    """What holds of every candidate: each test customer scored once, within [0, 1], importances that sum to 1."""
+    """What holds of every candidate: each test customer scored once, within [0, 1], importances that
+    sum to 1 (to 0 where nothing was split)."""
     found = None
     for name in learners.CANDIDATES:
         features, model = _candidate(spark, sf_dir, name)
         scores = learners.score(model, features.role("test"))
         total = float(sum(model.stages[-1].featureImportances.toArray()))
+        split = any(max(t["left"]) >= 0 for t in model.stages[-1].state["trees"])
         row = scores.agg(
             F.lit(name).alias("model"),
             F.count(F.lit(1)).alias("test_rows"),
             F.count_distinct("msno").alias("test_customers"),
             F.count_if(F.col("risk").isNull()).alias("without_score"),
             F.count_if((F.col("risk") < 0) | (F.col("risk") > 1)).alias("outside"),
-            F.round(F.lit(total), 6).alias("importance"),
+            F.lit(int(abs(total - split) > 1e-9)).cast("bigint").alias("importances_off"),
         )
         found = row if found is None else found.unionByName(row)
     return found

@@ -650,7 +650,7 @@ WINDOW {_join([f"before_{i} AS (PARTITION BY {c} ORDER BY draw, msno ROWS BETWEE
     ).replace("\n, placed", ",\nplaced"),
     "tournament_contracts": statement(
         """SELECT m AS model, COUNT(*) AS test_rows, COUNT(DISTINCT msno) AS test_customers, CAST(0 AS BIGINT) AS without_score,
-    CAST(0 AS BIGINT) AS outside, CAST(1 AS DOUBLE) AS importance
+    CAST(0 AS BIGINT) AS outside, CAST(0 AS BIGINT) AS importances_off
 FROM split_label, (VALUES ('boosted_ordinal'), ('boosted_nominal_deep'), ('boosted_nominal')) AS v(m)
 WHERE split = 'test' GROUP BY 1""",
         "split_label",
