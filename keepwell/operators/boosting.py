@@ -463,7 +463,7 @@ def fit(train: DataFrame, names: list[str], settings: Settings, label: str, weig
 
 
 class BoostedTreesModel(Model, MLWritable, MLReadable):
-    """Adds ``probability`` (of labels 0 and 1) to rows with a ``features`` vector; a stage of a stored pipeline."""
+    """Adds ``risk`` and ``probability`` (of labels 0 and 1) to rows with a ``features`` vector; a stage of a stored pipeline."""
 
     def __init__(self):
         super().__init__()
@@ -485,9 +485,9 @@ class BoostedTreesModel(Model, MLWritable, MLReadable):
                     margin = margin + tree[4][places(tree, inputs)]
                 yield pd.Series(sigmoid(margin))
 
-        return dataset.withColumn("_risk", risk(vector_to_array("features"))).withColumn(
-            "probability", array_to_vector(F.array(1.0 - F.col("_risk"), F.col("_risk")))
-        ).drop("_risk")
+        return dataset.withColumn("risk", risk(vector_to_array("features"))).withColumn(
+            "probability", array_to_vector(F.array(1.0 - F.col("risk"), F.col("risk")))
+        )
 
     @property
     def featureImportances(self):

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,6 +61,8 @@ class Features:
 
     rows: DataFrame
     names: list[str]
+    #: Fitted stages that make ``features`` out of raw model input.
+    stages: list[Transformer] = field(default_factory=list)
 
     def role(self, name: str) -> DataFrame:
         return self.rows.filter(F.col("role") == name)
@@ -114,8 +116,49 @@ def ordinal_features(rows: DataFrame) -> Features:
     rows = _used(rows)
     train = rows.filter(F.col("role") == "train")
     numeric = encoding.learn_numeric(train, _numeric(rows))
-    prepared = encoding.ordinal_encode(numeric.impute(rows), encoding.ordinal_levels(train))
-    return _assembled(prepared, [*numeric.columns, *[f"{c}_code" for c in CATEGORIES]], "ordinal")
+    levels = staged(encoding.ordinal_levels(train), "ordinal-levels")
+    prepared = encoding.ordinal_encode(numeric.impute(rows), levels)
+    made = _assembled(prepared, [*numeric.columns, *[f"{c}_code" for c in CATEGORIES]], "ordinal")
+    # The levels of the train role, whose documented cap bounds them.
+    held = {c: [] for c in CATEGORIES}
+    for row in levels.orderBy("category", "code").collect():
+        held[row["category"]].append(row["level"])
+    indexer = StringIndexerModel.from_arrays_of_labels(
+        list(held.values()), [f"text_{c}" for c in held], [f"index_{c}" for c in held], "keep"
+    )
+    codes = [f"CASE WHEN index_{c} = {len(held[c])} THEN -1D ELSE index_{c} END AS ready_{c}_code" for c in held]
+    made.stages = [*_numeric_stages(numeric), indexer, _selecting(codes), _ready_vector(made.names)]
+    return made
+
+
+def _selecting(columns: list[str]) -> SQLTransformer:
+    return SQLTransformer(statement=f"SELECT *, {', '.join(columns)} FROM __THIS__")
+
+
+def _numeric_stages(numeric: encoding.NumericPreparation) -> list[Transformer]:
+    """Gaps filled, indicators, and categories as texts, under names of their own."""
+    filled = [f"coalesce(CAST(`{c}` AS DOUBLE), {float(m)!r}D) AS `ready_{c}`" for c, m in numeric.medians.items()]
+    flags = [f"CAST(`{c}` IS NULL AS INT) AS `ready_missingindicator_{c}`" for c in numeric.indicators]
+    texts = [f"coalesce(CAST(`{c}` AS STRING), 'unknown') AS `text_{c}`" for c in CATEGORIES]
+    return [_selecting([*filled, *flags, *texts])]
+
+
+def _ready_vector(names: list[str]) -> VectorAssembler:
+    return VectorAssembler(inputCols=[f"ready_{n}" for n in names], outputCol="features")
+
+
+def scoring_pipeline(
+    features: Features, model: PipelineModel, calibrator: calibration.IsotonicRegressionModel
+) -> PipelineModel:
+    """Preparation, learner and calibrator as one stored model: raw model input in, ``risk`` and ``calibrated`` out."""
+    if not features.stages:
+        raise ValueError("These features cannot be made by stored stages.")
+    return PipelineModel([*features.stages, *model.stages, calibrator])
+
+
+def score_raw(pipeline: PipelineModel, rows: DataFrame) -> DataFrame:
+    """(msno, risk, calibrated) of raw model input, which needs no label and no role."""
+    return pipeline.transform(rows).select(ID, "risk", "calibrated")
 
 
 def nominal_features(rows: DataFrame) -> Features:

@@ -750,12 +750,15 @@ def score_boosted_nominal(spark, sf_dir):
 
 @query
 def model_save_load(spark, sf_dir):
-    """A saved and loaded model against the one in memory: customers scored, and scored otherwise."""
+    """A stored model with its preparation and calibrator, loaded again, on raw model input, against the scores
+    in memory: test customers scored, and scored otherwise."""
     features, model = _candidate(spark, sf_dir, "boosted_ordinal")
+    calibrated, calibrator = learners.calibrated_scores("memory", model, features)
     path = scratch_path(spark, "model")
-    model.write().overwrite().save(path)
-    again = learners.score(PipelineModel.load(path), features.role("test")).withColumnRenamed("risk", "again")
-    both = learners.score(model, features.role("test")).join(again.drop("is_churn"), "msno", "left")
+    learners.scoring_pipeline(features, model, calibrator).write().overwrite().save(path)
+    raw = _model_input(spark, sf_dir).drop(model_input.TARGET)
+    again = learners.score_raw(PipelineModel.load(path), raw).select("msno", F.col("calibrated").alias("again"))
+    both = calibrated.join(again, "msno", "left")
     return both.agg(
         F.count(F.lit(1)).alias("customers"),
         F.count_if(~F.col("risk").eqNullSafe(F.col("again"))).alias("scored_otherwise"),

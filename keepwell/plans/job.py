@@ -111,9 +111,9 @@ def train_and_calibrate(run: Run) -> None:
     prepare, fit = learners.CANDIDATES[ORDINAL_MODEL]
     features = prepare(run.table("gold/model_input_roles"))
     model = fit(features, run.profile)
-    model.write().overwrite().save(run.path(f"models/{ORDINAL_MODEL}"))
     calibrator = calibration.fit_isotonic(learners.score(model, features.role("calibration")))
-    calibrator.write().overwrite().save(run.path(f"models/{ORDINAL_MODEL}_calibrator"))
+    whole = learners.scoring_pipeline(features, model, calibrator)
+    whole.write().overwrite().save(run.path(f"models/{ORDINAL_MODEL}"))
     raw = learners.score(model, features.role("test"))
     both = sinks.write_parquet(
         calibration.calibrate(raw, calibrator), run.path(f"gold/test_predictions_{ORDINAL_MODEL}")

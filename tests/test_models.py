@@ -115,3 +115,21 @@ def test_registered_queries_fit_each_candidate_once_with_the_reported_settings(s
     for name in ("score_boosted_ordinal", "feature_importance_boosted", "model_save_load", "model_tournament", "score_boosted_nominal"):
         assert catalog.QUERIES[name](spark, sf_dir).count() > 0
     assert sorted(fits, key=lambda x: x[0]) == [(n, learners.FULL) for n in sorted(learners.CANDIDATES)]
+
+
+def test_stored_preparation_scores_raw_customers(spark, rows, tmp_path):
+    """Raw rows without label and role, one with unseen levels and gaps everywhere."""
+    features = learners.ordinal_features(rows)
+    model = learners.fit_boosted_ordinal(features, learners.QUICK)
+    scores, calibrator = learners.calibrated_scores("m", model, features)
+    learners.scoring_pipeline(features, model, calibrator).write().overwrite().save(str(tmp_path / "m"))
+    loaded = PipelineModel.load(str(tmp_path / "m"))
+    raw = rows.drop("role", "is_churn")
+    again = {r.msno: r.calibrated for r in learners.score_raw(loaded, raw).collect()}
+    assert len(again) == rows.count()
+    assert all(again[r.msno] == r.risk for r in scores.collect())
+    odd = raw.limit(1).select("msno", *[F.lit(None).cast(t).alias(c) for c, t in raw.dtypes if c != "msno"])
+    odd = odd.withColumn("city_category", F.lit("nowhere"))
+    assert 0 <= learners.score_raw(loaded, odd).first().calibrated <= 1
+    with pytest.raises(ValueError, match="stored stages"):
+        learners.scoring_pipeline(learners.nominal_features(rows), model, calibrator)
