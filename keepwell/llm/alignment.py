@@ -37,13 +37,13 @@ from keepwell.llm.common import shipped, staged
 VOCABULARY_A, VOCABULARY_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 #: Texts are aligned in chunks of about so many bytes; a longer text is a chunk of its own.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 #: Units, and characters of units, beyond which a task forgets the units it has met.
-_REMEMBERED, _LETTERS = 400_000, 8_000_000
+_REMEMBERED, _LETTERS = 300_000, 6_000_000
 #: Pairs that are spelled out at a time.
-_PAIRS = 1 << 22
+_PAIRS = 1 << 20
 #: New units are encoded so many at a time, as the library returns a list for each.
-_ENCODED = 50_000
+_ENCODED = 20_000
 #: Letters below this one are split into words alike by all versions of Unicode.
 _BEYOND_LATIN = "\u0250"
 
