@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from keepwell.functions.hashing import hash_draw
 from keepwell.operators import boosting, calibration, champion, encoding, metrics, splitting
 from keepwell.operators.model_input import CATEGORIES, ID, TARGET, numeric_features
-from keepwell.session import staged
+from keepwell.session import scratch_path, staged
 
 SEED = 42
 #: Draws the order of rows that statistics of category levels are taken in.
@@ -212,7 +212,15 @@ def fit_logistic(features: Features, profile: Profile) -> PipelineModel:
         standardization=False,
         maxIter=profile.logistic_rounds,
     )
-    return Pipeline(stages=[learner]).fit(train)
+    return _without_summary(Pipeline(stages=[learner]).fit(train))
+
+
+def _without_summary(model: PipelineModel) -> PipelineModel:
+    """The model as it is stored. A training summary holds the session, which Spark sends to the tasks with the
+    model, and cannot once the session has observed a table's measures."""
+    path = scratch_path(SparkSession.active(), "model")
+    model.write().save(path)
+    return PipelineModel.load(path)
 
 
 def fit_forest(features: Features, profile: Profile) -> PipelineModel:
@@ -226,7 +234,7 @@ def fit_forest(features: Features, profile: Profile) -> PipelineModel:
         featureSubsetStrategy="sqrt",
         seed=SEED,
     )
-    return Pipeline(stages=[learner]).fit(features.training(profile))
+    return _without_summary(Pipeline(stages=[learner]).fit(features.training(profile)))
 
 
 def _boosted(features: Features, profile: Profile, settings: boosting.Settings) -> PipelineModel:

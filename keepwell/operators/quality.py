@@ -33,29 +33,51 @@ def duplicate_rows(df: DataFrame, key: str = "msno") -> DataFrame:
     )
 
 
-def snapshot_contracts(
-    snapshot: DataFrame, cutoff: dt.date, base_rate_band: tuple[float, float] = (0.08, 0.10)
-) -> DataFrame:
-    """Grain, label and leakage rules of the snapshot."""
+def snapshot_measures(cutoff: dt.date) -> dict[str, Column]:
+    """Aggregates of the snapshot's rows, to be observed while it is written."""
+    return {
+        "unlabelled": F.count_if(F.col("is_churn").isNull()),
+        "off_domain": F.count_if(~F.col("is_churn").isin(0, 1)),
+        "leaked": F.count_if(F.col("last_transaction_date") > F.lit(cutoff)),
+        "churned": F.coalesce(F.sum("is_churn").cast("bigint"), F.lit(0)),
+        "labelled": F.count("is_churn"),
+    }
+
+
+def _snapshot_rules(checked: DataFrame, base_rate_band: tuple[float, float]) -> DataFrame:
     low, high = base_rate_band
-    rate = F.avg("is_churn")
-    checked = snapshot.agg(
-        F.count_if(F.col("is_churn").isNull()).alias("unlabelled"),
-        F.count_if(~F.col("is_churn").isin(0, 1)).alias("off_domain"),
-        F.count_if(F.col("last_transaction_date") > F.lit(cutoff)).alias("leaked"),
-        _missed((rate > low) & (rate < high)).alias("off_band"),
-    )
+    rate = F.try_divide("churned", "labelled")
     return checked.select(
         _rules(
-            snapshot_one_row_per_customer=duplicate_rows(snapshot).scalar(),
+            snapshot_one_row_per_customer=F.col("extra"),
             label_known=F.col("unlabelled"),
             label_zero_or_one=F.col("off_domain"),
             no_transaction_after_cutoff=F.col("leaked"),
-            base_rate_in_band=F.col("off_band"),
+            base_rate_in_band=_missed((rate > low) & (rate < high)),
         )
     )
 
 
+def snapshot_contracts(
+    snapshot: DataFrame, cutoff: dt.date, base_rate_band: tuple[float, float] = (0.08, 0.10)
+) -> DataFrame:
+    """Grain, label and leakage rules of the snapshot, in one pass grouped by customer."""
+    measures = snapshot_measures(cutoff)
+    customers = snapshot.groupBy("msno").agg(
+        (F.count(F.lit(1)) - 1).alias("extra"), *[column.alias(name) for name, column in measures.items()]
+    )
+    sums = [F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in ("extra", *measures)]
+    return _snapshot_rules(customers.agg(*sums), base_rate_band)
+
+
+def observed_snapshot_contracts(
+    written: DataFrame, seen: dict[str, int], base_rate_band: tuple[float, float] = (0.08, 0.10)
+) -> DataFrame:
+    """The same rules, from what was observed while the snapshot was written; only its ids are read again."""
+    values = [F.lit(value).cast("bigint").alias(name) for name, value in seen.items()]
+    return _snapshot_rules(duplicate_rows(written).select("extra", *values), base_rate_band)
+
+
 def id_set_difference(left: DataFrame, right: DataFrame, key: str = "msno") -> DataFrame:
     """Ids on one side only, with the side; empty when the id sets are equal.
 
@@ -70,17 +92,24 @@ def id_set_difference(left: DataFrame, right: DataFrame, key: str = "msno") -> D
 
 
 def model_input_contracts(snapshot: DataFrame, model_input: DataFrame) -> DataFrame:
-    """Grain and schema rules of the model input against its snapshot."""
+    """Grain and schema rules of the model input against its snapshot; both sides meet in one pass grouped by customer."""
     required = {"latest_payment_method_category", "age_unknown_flag"}
     forbidden = {"latest_payment_method_id"}
     columns = set(model_input.columns)
-    rows = snapshot.agg(F.count(F.lit(1)).alias("n"))
-    different = id_set_difference(snapshot, model_input).agg(F.count(F.lit(1)).alias("n"))
-    return model_input.agg(F.count(F.lit(1)).alias("n")).select(
+    sides = snapshot.select("msno", F.lit(1).alias("a"), F.lit(0).alias("b")).unionByName(
+        model_input.select("msno", F.lit(0).alias("a"), F.lit(1).alias("b"))
+    )
+    customers = sides.groupBy("msno").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    checked = customers.agg(
+        F.coalesce(F.sum(F.greatest(F.col("b") - 1, F.lit(0))), F.lit(0)).alias("extra"),
+        F.coalesce(F.abs(F.sum(F.col("b") - F.col("a"))), F.lit(0)).alias("rows"),
+        F.count_if((F.col("a") == 0) | (F.col("b") == 0)).alias("ids"),
+    )
+    return checked.select(
         _rules(
-            model_input_one_row_per_customer=duplicate_rows(model_input).scalar(),
-            model_input_row_count_kept=F.abs(F.col("n") - rows.scalar()),
-            model_input_ids_kept=different.scalar(),
+            model_input_one_row_per_customer=F.col("extra"),
+            model_input_row_count_kept=F.col("rows"),
+            model_input_ids_kept=F.col("ids"),
             model_input_columns=F.lit(len(required - columns) + len(forbidden & columns)),
         )
     )

@@ -8,12 +8,12 @@ from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keepwell.functions.columns import compact_date
-from keepwell.functions.hashing import hash_draw
+from keepwell.functions.hashing import hash_bucket, hash_draw
 from keepwell.operators import (
     boosting,
     calibration,
@@ -180,7 +180,7 @@ def rewrite_in_place(spark, sf_dir):
     models = list(fixtures.MODEL_SEEDS)
     path = scratch_path(spark, "predictions")
     wide = champion.wide_predictions(scored, models, winner)
-    wide.withColumn("champion_calibrated_probability", F.lit(None).cast("double")).write.parquet(path)
+    sinks.publish(wide.withColumn("champion_calibrated_probability", F.lit(None).cast("double")), path)
     return shown(sinks.rewrite_parquet(spark, path, lambda stored: champion.reselect(stored, models, winner)))
 
 
@@ -620,6 +620,49 @@ def dq_contracts(spark, sf_dir):
     return table
 
 
+def _spoiled(table: DataFrame, copies: tuple[int, int], **changes: tuple[int, int, Column]) -> DataFrame:
+    """``table`` with values changed and rows repeated, each for the customers of a range of hash buckets."""
+    bucket = hash_bucket("spoiled", "msno")
+    rows = table.withColumn("_bucket", bucket)
+    for name, (low, high, value) in changes.items():
+        rows = rows.withColumn(name, F.when(F.col("_bucket").between(low, high - 1), value).otherwise(F.col(name)))
+    again = F.when(F.col("_bucket").between(copies[0], copies[1] - 1), F.lit(2)).otherwise(F.lit(1))
+    return rows.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), again))).drop("_bucket", "_copy")
+
+
+@query
+def dq_contract_violations(spark, sf_dir):
+    """All contracts on copies of the tables that break every rule."""
+    built = staged(_snapshot(spark, sf_dir), "snapshot")
+    prepared = staged(model_input.model_input(built), "input")
+    grid, config = _spend_grid(spark, sf_dir, prepared)
+    capacities = config["capacity_grid_percent"]
+    snapshots = _spoiled(
+        built,
+        (3000, 4000),
+        is_churn=(0, 2000, F.when(hash_bucket("label", "msno") < 5000, F.lit(2))),
+        last_transaction_date=(2000, 3000, F.lit(fixtures.CUTOFF) + F.expr("INTERVAL 5 DAYS")),
+    )
+    inputs = _spoiled(prepared.filter(hash_bucket("lost", "msno") >= 1000), (3000, 3500)).withColumnRenamed(
+        "age_unknown_flag", "latest_payment_method_id"
+    )
+    nobody = (6000, 9000, F.lit(None).cast("double"))
+    scores = _spoiled(_scored(spark, sf_dir).withColumn("risk", F.round("risk", 1)), (0, 1000), risk=nobody)
+    scores = scores.withColumn("risk", F.when(F.col("risk") < 0.3, F.col("risk") - 1).otherwise(F.col("risk")))
+    dear = grid.filter("NOT within_budget").withColumn("capacity_percent", F.lit(99.0))
+    parts = [
+        quality.snapshot_contracts(snapshots, fixtures.CUTOFF, BASE_RATE_BAND),
+        quality.model_input_contracts(built, inputs),
+        quality.score_contracts(scores, MIN_DISTINCT_SCORES),
+        quality.champion_contract(_metrics(spark, sf_dir), spark.range(1).select(F.lit("nobody").alias("model"))),
+        quality.recommendation_contracts(grid, dear, config["maximum_campaign_budget"], capacities),
+    ]
+    table = parts[0]
+    for part in parts[1:]:
+        table = table.unionByName(part)
+    return table
+
+
 # ---- feeds ----
 
 

@@ -862,6 +862,51 @@ UNION ALL SELECT 'recommendation_on_grid', CASE WHEN MAX(capacity_percent) IN (1
         "winner",
         "recommended",
     ),
+    "dq_contract_violations": statement(
+        f"""SELECT rule, CAST(violations AS BIGINT) AS violations FROM (
+WITH marked AS (
+    SELECT msno, {_bucket("'spoiled'")} AS b, {_bucket("'label'")} AS l, {_bucket("'lost'")} AS o FROM snapshot
+), spoiled AS (
+    SELECT s.msno, b, CASE WHEN b < 2000 THEN CASE WHEN l < 5000 THEN 2 END ELSE is_churn END AS is_churn,
+        CASE WHEN b >= 2000 AND b < 3000 THEN {CUTOFF} + INTERVAL 5 DAY ELSE last_transaction_date END AS latest
+    FROM snapshot s JOIN marked USING (msno)
+), snapshots AS (
+    SELECT * FROM spoiled UNION ALL SELECT * FROM spoiled WHERE b >= 3000 AND b < 4000
+), left_in AS (SELECT msno, b FROM inputs JOIN marked USING (msno) WHERE o >= 1000),
+doubled AS (SELECT * FROM left_in UNION ALL SELECT * FROM left_in WHERE b >= 3000 AND b < 3500),
+rounded AS (
+    SELECT msno, {_bucket("'spoiled'")} AS b,
+        CASE WHEN {_bucket("'spoiled'")} >= 6000 AND {_bucket("'spoiled'")} < 9000 THEN NULL ELSE ROUND(risk, 1) END AS r
+    FROM scored
+), lowered AS (SELECT msno, b, CASE WHEN r < 0.3 THEN r - 1 ELSE r END AS r FROM rounded),
+scores AS (SELECT * FROM lowered UNION ALL SELECT * FROM lowered WHERE b < 1000),
+dear AS (SELECT * FROM options WHERE NOT within_budget)
+SELECT 'snapshot_one_row_per_customer' AS rule, COUNT(*) - COUNT(DISTINCT msno) AS violations FROM snapshots
+UNION ALL SELECT 'label_known', COUNT(*) FILTER (WHERE is_churn IS NULL) FROM snapshots
+UNION ALL SELECT 'label_zero_or_one', COUNT(*) FILTER (WHERE is_churn NOT IN (0, 1)) FROM snapshots
+UNION ALL SELECT 'no_transaction_after_cutoff', COUNT(*) FILTER (WHERE latest > {CUTOFF}) FROM snapshots
+UNION ALL SELECT 'base_rate_in_band', CASE WHEN AVG(is_churn) > 0.05 AND AVG(is_churn) < 0.2 THEN 0 ELSE 1 END
+    FROM snapshots
+UNION ALL SELECT 'model_input_one_row_per_customer', COUNT(*) - COUNT(DISTINCT msno) FROM doubled
+UNION ALL SELECT 'model_input_row_count_kept', abs((SELECT COUNT(*) FROM doubled) - (SELECT COUNT(*) FROM snapshot))
+UNION ALL SELECT 'model_input_ids_kept', COUNT(*) FROM (SELECT msno FROM snapshot EXCEPT SELECT msno FROM doubled)
+UNION ALL SELECT 'model_input_columns', 2
+UNION ALL SELECT 'score_one_row_per_customer', COUNT(*) - COUNT(DISTINCT msno) FROM scores
+UNION ALL SELECT 'score_known', COUNT(*) FILTER (WHERE r IS NULL) FROM scores
+UNION ALL SELECT 'score_is_probability', COUNT(*) FILTER (WHERE r < 0 OR r > 1) FROM scores
+UNION ALL SELECT 'score_distinct_values', CASE WHEN COUNT(DISTINCT r) >= 30 THEN 0 ELSE 1 END FROM scores
+UNION ALL SELECT 'champion_follows_rule', 1
+UNION ALL SELECT 'recommendation_single', CASE WHEN COUNT(*) = 1 THEN 0 ELSE 1 END FROM dear
+UNION ALL SELECT 'recommendation_affordable', CASE WHEN MAX(campaign_spend) <= (SELECT budget FROM budget) THEN 0 ELSE 1 END
+    FROM dear
+UNION ALL SELECT 'recommendation_is_best', CASE WHEN MAX(scenario_net_value) =
+    (SELECT MAX(scenario_net_value) FROM options WHERE within_budget) THEN 0 ELSE 1 END FROM dear
+UNION ALL SELECT 'recommendation_on_grid', 1)""",
+        "snapshot",
+        "inputs",
+        "scored",
+        "options",
+    ),
     # feeds
     "kpi_feed": statement(
         f"""SELECT (SELECT COUNT(*) FROM snapshot) AS customers,

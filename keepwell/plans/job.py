@@ -51,7 +51,7 @@ class Run:
     labels: str = "labels.csv"
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        return sinks.published(self.spark, self.path(name))
 
     def path(self, name: str) -> str:
         return f"{self.out}/{name}"
@@ -65,7 +65,7 @@ class Run:
 
 
 def build_snapshot(run: Run) -> None:
-    """Write first, then check the written table, so that the plan runs once."""
+    """The rules are observed in the rows as they are written; readers see the table once they hold."""
     labels = run.raw_table(run.labels, schemas.labels())
     built = customer_snapshot(
         labels,
@@ -73,8 +73,12 @@ def build_snapshot(run: Run) -> None:
         run.raw_table(run.members, schemas.members()),
         run.cutoff,
     )
-    written = sinks.write_parquet(built, run.path("silver/customer_snapshot"))
-    quality.require(quality.snapshot_contracts(written, run.cutoff, run.base_rate_band))
+    written = sinks.publish(
+        built,
+        run.path("silver/customer_snapshot"),
+        lambda made, seen: quality.require(quality.observed_snapshot_contracts(made, seen, run.base_rate_band)),
+        quality.snapshot_measures(run.cutoff),
+    )
     sinks.write_small_csv(snapshot_summary(written), run.path("reports/snapshot_summary"))
 
 
@@ -86,18 +90,21 @@ def build_segments(run: Run) -> None:
 
 def prepare_model_input(run: Run) -> None:
     source = run.table("silver/customer_snapshot")
-    written = sinks.write_parquet(model_input(source), run.path("gold/model_input"))
-    quality.require(quality.model_input_contracts(source, written))
+    written = sinks.publish(
+        model_input(source),
+        run.path("gold/model_input"),
+        lambda made, _: quality.require(quality.model_input_contracts(source, made)),
+    )
     sinks.write_small_csv(sinks.schema_report(written), run.path("reports/model_input_schema"))
-    sinks.write_parquet(splitting.split_roles(written), run.path("gold/model_input_roles"))
-    sinks.write_parquet(splitting.baseline_roles(written), run.path("gold/model_input_baseline_roles"))
+    sinks.publish(splitting.split_roles(written), run.path("gold/model_input_roles"))
+    sinks.publish(splitting.baseline_roles(written), run.path("gold/model_input_baseline_roles"))
 
 
 def train_baselines(run: Run) -> None:
     models, scores, features = learners.baseline_scores(run.table("gold/model_input_baseline_roles"), run.profile)
     for name, model in models.items():
         model.write().overwrite().save(run.path(f"models/{name}"))
-    scores = sinks.write_parquet(scores, run.path("gold/test_scores_baselines"))
+    scores = sinks.publish(scores, run.path("gold/test_scores_baselines"))
     records = metrics.baseline_records(metrics.model_metrics(scores))
     sinks.write_small_csv(metrics.report_rounded(records), run.path("reports/baseline_model_metrics"))
     sinks.write_small_csv(
@@ -115,7 +122,7 @@ def train_and_calibrate(run: Run) -> None:
     whole = learners.scoring_pipeline(features, model, calibrator)
     whole.write().overwrite().save(run.path(f"models/{ORDINAL_MODEL}"))
     raw = learners.score(model, features.role("test"))
-    both = sinks.write_parquet(
+    both = sinks.publish(
         calibration.calibrate(raw, calibrator), run.path(f"gold/test_predictions_{ORDINAL_MODEL}")
     )
     pair = F.array(
@@ -151,11 +158,11 @@ def run_tournament(run: Run) -> None:
         part, calibrator = learners.calibrated_scores(names[-1], model, features)
         calibrator.write().overwrite().save(run.path(f"models/{short}_calibrator"))
         scores = scores.unionByName(part)
-    scores = sinks.write_parquet(scores, run.path("gold/test_scores_tournament"))
+    scores = sinks.publish(scores, run.path("gold/test_scores_tournament"))
     measured = metrics.report_rounded(metrics.tournament_records(metrics.model_metrics(scores)))
-    measured = sinks.write_parquet(measured, run.path("gold/model_tournament_metrics"))
+    measured = sinks.publish(measured, run.path("gold/model_tournament_metrics"))
     _publish_champion(run, measured)
-    sinks.write_parquet(
+    sinks.publish(
         champion.wide_predictions(scores, names, champion.champion(measured)),
         run.path("gold/test_predictions_tournament"),
     )
@@ -195,7 +202,7 @@ def plan_campaign(run: Run) -> None:
         config["offer_cost_per_customer"],
         config["value_months"],
     )
-    sinks.write_parquet(campaign.priority_list(valued, capacity).drop("risk"), run.path("gold/campaign_priority_list"))
+    sinks.publish(campaign.priority_list(valued, capacity).drop("risk"), run.path("gold/campaign_priority_list"))
     grid = [capacity, *config["sensitivity_capacity_percent"]]
     targets = staged(campaign.target_totals(valued, grid), "targets")
     main = targets.filter(F.col("capacity_percent") == capacity)
@@ -214,10 +221,10 @@ def optimize_spend(run: Run) -> None:
     config = run.scenario()
     capacities = config["capacity_grid_percent"]
     valued = _valued(run, config["value_proxy_multiplier"])
-    grid = sinks.write_parquet(
+    grid = sinks.publish(
         campaign.spend_grid(campaign.target_totals(valued, capacities), config), run.path("gold/campaign_spend_grid")
     )
-    chosen = sinks.write_parquet(
+    chosen = sinks.publish(
         campaign.recommendation(grid, capacities), run.path("gold/campaign_spend_recommendation")
     )
     place = F.array_position(F.array(*[F.lit(c) for c in capacities]), F.col("capacity_percent"))

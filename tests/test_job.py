@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from keepwell.plans import job
-from keepwell.sources import fixtures, readers, schemas
+from keepwell.sources import fixtures, readers, schemas, sinks
 
 SF = "/root/testdata/sf0.01"
 RULES = "rule string, violations long"
@@ -45,8 +45,8 @@ def test_all_steps_then_single_steps(spark, arguments):
     assert len(rules) == 18
     assert {r["rule"] for r in rules if r["violations"]} == set()
 
-    assert spark.read.parquet(f"{out}/silver/customer_snapshot").count() == 1500
-    listed = spark.read.parquet(f"{out}/gold/campaign_priority_list")
+    assert sinks.published(spark, f"{out}/silver/customer_snapshot").count() == 1500
+    listed = sinks.published(spark, f"{out}/gold/campaign_priority_list")
     assert "is_churn" not in listed.columns
     assert listed.agg(F.max("risk_rank")).first()[0] == listed.count()
     record = json.loads(spark.read.text(f"{out}/reports/model_tournament_winner").first()["value"])
@@ -57,9 +57,9 @@ def test_all_steps_then_single_steps(spark, arguments):
     assert spark.read.option("header", True).csv(f"{out}/reports/ordinal_model_metrics").count() == 2
     assert spark.read.option("header", True).csv(f"{out}/feeds/kpis").first()["customers"] == "1500"
 
-    before = spark.read.parquet(f"{out}/gold/test_predictions_tournament").orderBy("msno").collect()
+    before = sinks.published(spark, f"{out}/gold/test_predictions_tournament").orderBy("msno").collect()
     run(arguments, "--steps", "reselect", "spend")
-    after = spark.read.parquet(f"{out}/gold/test_predictions_tournament").orderBy("msno").collect()
+    after = sinks.published(spark, f"{out}/gold/test_predictions_tournament").orderBy("msno").collect()
     assert before == after
 
 
@@ -70,6 +70,9 @@ def test_bad_setting_stops_the_step_before_it_reads_customers(arguments, tmp_pat
         run({**arguments, "--config": str(tmp_path / "bad.json")}, "--steps", "spend")
 
 
-def test_failed_contract_stops_the_job(arguments):
+def test_failed_contract_stops_the_job_and_leaves_the_table(spark, arguments):
+    path = f"{arguments['--out']}/silver/customer_snapshot"
+    before = sinks.published(spark, path).inputFiles()
     with pytest.raises(ValueError, match="base_rate_in_band"):
         job.main([part for pair in arguments.items() for part in pair] + ["--quick", "--steps", "snapshot"])
+    assert sorted(sinks.published(spark, path).inputFiles()) == sorted(before)

@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from keepwell.operators import history, model_input, profiles, quality, segments, snapshot
 from keepwell.sources import fixtures, schemas
@@ -105,6 +106,15 @@ def test_contracts_hold_and_fail(spark):
     assert {r["rule"]: r["violations"] for r in leaked}["no_transaction_after_cutoff"] == 1
 
 
+def test_observed_contracts_are_the_same(spark):
+    good = small(spark)
+    for rows in (good, good.unionByName(good.limit(1)), good.withColumn("is_churn", F.lit(None).cast("int"))):
+        seen = rows.agg(*[c.alias(n) for n, c in quality.snapshot_measures(CUTOFF).items()]).first().asDict()
+        assert quality.observed_snapshot_contracts(rows, seen, (0.3, 0.4)).collect() == quality.snapshot_contracts(
+            rows, CUTOFF, (0.3, 0.4)
+        ).collect()
+
+
 def test_model_input_contracts(spark):
     built = small(spark)
     prepared = model_input.model_input(built)

@@ -132,3 +132,39 @@ def test_only_local_mode_may_do_without():
     assert session.scratch_root(local) == session.scratch_root(local)
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.scratch_root(BareSession("spark://host"))
+
+
+def _values(spark, path):
+    return sorted(r["id"] for r in sinks.published(spark, path).collect())
+
+
+def test_publish_keeps_the_table_until_the_next_one_is_whole(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.publish(spark.range(3), path)
+    # A writer that stops while it writes: a folder without a pointer.
+    stopped = f"{path}/v{2:012d}-{'0' * 32}"
+    spark.range(9).write.parquet(stopped)
+    assert _values(spark, path) == [0, 1, 2]
+
+    def refuse(written, seen):
+        assert written.count() == 4 and seen == {"rows": 4, "top": 3}
+        raise ValueError("refused")
+
+    with pytest.raises(ValueError, match="refused"):
+        sinks.publish(spark.range(4), path, refuse, {"rows": F.count(F.lit(1)), "top": F.max("id")})
+    assert _values(spark, path) == [0, 1, 2]
+    reader = sinks.published(spark, path)
+    # The new version may read the old one; a reader that has resolved the old one still finds it.
+    sinks.rewrite_parquet(spark, path, lambda t: t.filter("id > 0"))
+    assert _values(spark, path) == [1, 2] and reader.count() == 3
+    sinks.rewrite_parquet(spark, path, lambda t: t.filter("id > 1"))
+    assert _values(spark, path) == [2]
+    assert len([p for p in (tmp_path / "t").iterdir() if p.name.startswith("v")]) == 2
+
+
+def test_publish_observes_an_empty_table(spark, tmp_path):
+    found = []
+    sinks.publish(
+        spark.range(5).filter("id > 9"), str(tmp_path / "e"), lambda _, s: found.append(s), {"rows": F.count(F.lit(1))}
+    )
+    assert found == [{"rows": 0}] and _values(spark, str(tmp_path / "e")) == []
