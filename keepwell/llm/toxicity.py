@@ -10,6 +10,7 @@ overfit the positives, and the step goes the other way.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -18,11 +19,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keepwell.llm.common import released, shipped, staged
+from keepwell.llm.common import shipped, staged
 from keepwell.llm.sampling import fold, thinned
 
-#: Confirmed toxic texts, and unlabelled ones, to learn from: about so many at most.
-POSITIVES, UNLABELLED = 4000, 12000
+#: Confirmed toxic texts to learn from: about so many at most.
+POSITIVES = 4000
+#: Unlabelled texts of a block that is fitted in one task; Adam steps in all, and between two averages of the blocks.
+BLOCK, STEPS, STRIDE = 8192, 300, 20
 #: Word features at most, and how many standard errors a word must stand out among the positives.
 FEATURES, STANDS_OUT = 4096, 4.0
 _WORDS = re.compile(r"[^\W\d_]+")
@@ -55,67 +58,146 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
 
 
 class Hits:
-    """A 0/1 matrix, rows by features, as the list of its ones."""
+    """A 0/1 matrix, rows by features, as the list of its ones; a row may stand for a number of texts."""
 
-    def __init__(self, lists: list[list[int]], features: int):
+    def __init__(self, lists: list[list[int]], features: int, counts: np.ndarray | None = None):
         self.n, self.features = len(lists), features
         self.rows = np.repeat(np.arange(self.n), [len(x) for x in lists])
         self.columns = np.fromiter((c for x in lists for c in x), np.int64, len(self.rows))
+        self.counts = np.ones(self.n) if counts is None else counts
+        self.texts = self.counts.sum()
 
     def times(self, weights: np.ndarray) -> np.ndarray:
         return np.bincount(self.rows, weights[self.columns], self.n)
 
+    def mean(self, values: np.ndarray) -> float:
+        return float(values @ self.counts / self.texts)
+
     def mean_slope(self, d: np.ndarray) -> np.ndarray:
         """The mean gradient of weights and bias, for slopes ``d`` of the rows' scores."""
-        return np.append(np.bincount(self.columns, d[self.rows], self.features), d.sum()) / self.n
+        d = d * self.counts
+        return np.append(np.bincount(self.columns, d[self.rows], self.features), d.sum()) / self.texts
 
 
-def fit_nnpu(
-    positive: Hits, unlabelled: Hits, prior: float, steps: int = 300, rate: float = 0.1, l2: float = 1e-4
-) -> tuple[np.ndarray, float]:
-    """Weights and bias of a linear classifier that minimises the non-negative risk with logistic loss.
+def start(features: int, prior: float) -> np.ndarray:
+    """Weights and bias, and both moments of Adam, before the first step."""
+    state = np.zeros((3, features + 1))
+    state[0, features] = np.log(prior / (1 - prior))
+    return state
 
-    Full-batch Adam.
-    """
+
+def nnpu_steps(
+    positive: Hits, unlabelled: Hits, prior: float, state: np.ndarray, first: int, last: int, rate: float = 0.1, l2: float = 1e-4
+) -> np.ndarray:
+    """The state after the full-batch Adam steps ``first`` to ``last`` on the non-negative risk with logistic loss."""
     k = positive.features
-    theta, m, v = np.zeros(k + 1), np.zeros(k + 1), np.zeros(k + 1)
-    theta[k] = np.log(prior / (1 - prior))
-    for step in range(1, steps + 1):
+    theta, m, v = state.copy()
+    for step in range(first, last + 1):
         zp, zu = positive.times(theta[:k]) + theta[k], unlabelled.times(theta[:k]) + theta[k]
         as_positive = prior * positive.mean_slope(_sigmoid(zp) - 1)
-        negative_risk = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
+        negative_risk = unlabelled.mean(np.logaddexp(0, zu)) - prior * positive.mean(np.logaddexp(0, zp))
         negative = unlabelled.mean_slope(_sigmoid(zu)) - prior * positive.mean_slope(_sigmoid(zp))
         slope = as_positive + negative if negative_risk >= 0 else -negative
         slope[:k] += l2 * theta[:k]
         m = 0.9 * m + 0.1 * slope
         v = 0.999 * v + 0.001 * slope**2
-        theta -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
-    return theta[:k], float(theta[k])
+        theta = theta - rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
+    return np.stack([theta, m, v])
 
 
-def _token_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for start in range(0, batch.num_rows, 64):
-            part = batch.slice(start, 64)
-            sets = [sorted(tokens(t or "")) for t in part.column(1).to_pylist()]
-            role = np.repeat(part.column(0).to_numpy(zero_copy_only=False), [len(s) for s in sets])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(role), pa.array([t for s in sets for t in s], pa.string())], names=["positive", "token"]
-            )
+def _block_steps(positive: Hits, prior: float, state: np.ndarray, first: int, last: int):
+    """Per block (hits, texts): its state after the steps, as rows (place, value, texts)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.column(0).to_pylist():
+                counts = np.array([x["texts"] for x in row])
+                own = Hits([x["hits"] for x in row], positive.features, counts)
+                after = nnpu_steps(positive, own, prior, state, first, last).ravel()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.arange(len(after))), pa.array(after), pa.array(np.full(len(after), own.texts))],
+                    names=["place", "value", "texts"],
+                )
 
+    return run
+
+
+def fit_blocks(blocks: DataFrame, positive: Hits, prior: float) -> tuple[np.ndarray, float]:
+    """Weights and bias from all ``blocks`` (rows: array of (hits, texts)) of unlabelled texts.
+
+    Every block takes ``STRIDE`` steps from the common state, with all positives; then the blocks' states
+    are averaged, by their numbers of texts, in exact decimals. One block takes the steps of a fit in memory.
+    """
+    state = start(positive.features, prior)
+    for first in range(1, STEPS + 1, STRIDE):
+        last = min(first + STRIDE - 1, STEPS)
+        moved = blocks.select("rows").mapInArrow(
+            _block_steps(positive, prior, state, first, last), "place long, value double, texts double"
+        )
+        # A row for each number of the state, which FEATURES bounds.
+        sums = moved.groupBy("place").agg(
+            F.sum((F.col("value") * F.col("texts")).cast("decimal(38,16)")).cast("double").alias("value"),
+            F.sum(F.col("texts").cast("decimal(30,8)")).cast("double").alias("texts"),
+        )
+        means = sums.toArrow().sort_by("place")
+        state = (means["value"].to_numpy() / means["texts"].to_numpy()).reshape(state.shape)
+    return state[0, :-1], float(state[0, -1])
+
+
+def _token_counts(wanted: set[str] | None):
+    """(token, texts): in how many texts of a batch each token is, of ``wanted`` ones only if given."""
 
-def _feature_rows(vocabulary: dict[str, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hits = [sorted(vocabulary[t] for t in vocabulary.keys() & tokens(x or "")) for x in batch.column(1).to_pylist()]
+            for at in range(0, batch.num_rows, 512):
+                counts: Counter[str] = Counter()
+                for text in batch.column(0).slice(at, 512).to_pylist():
+                    found = tokens(text or "")
+                    counts.update(found if wanted is None else found & wanted)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())],
+                    names=["token", "texts"],
+                )
+
+    return run
+
+
+def _pattern_counts(vocabulary: dict[str, int]):
+    """(hits, texts): the features that texts have, and how many texts of a batch have just these."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts = Counter(
+                tuple(sorted(vocabulary[t] for t in vocabulary.keys() & tokens(x or ""))) for x in batch.column(0).to_pylist()
+            )
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(hits, pa.list_(pa.int32()))],
-                names=["positive", "doc", "hits"],
+                [pa.array([list(x) for x in counts], pa.list_(pa.int32())), pa.array(list(counts.values()), pa.int64())],
+                names=["hits", "texts"],
             )
 
     return run
 
 
+def _patterns(bodies: DataFrame, vocabulary: dict[str, int]) -> DataFrame:
+    found = bodies.select("text").mapInArrow(_pattern_counts(vocabulary), "hits array<int>, texts long")
+    return found.groupBy("hits").agg(F.sum("texts").alias("texts"))
+
+
+def _blocks(patterns: DataFrame, texts: int, block: int) -> DataFrame:
+    """(block, rows): all patterns, in blocks of about ``block`` texts that are alike.
+
+    A pattern of many texts is spread over the blocks, so that no block is made of one hot pattern.
+    """
+    n = max(1, -(-texts // block))
+    copies = F.least("texts", F.lit(n))
+    placed = patterns.select(
+        "hits", (F.col("texts") / copies).alias("texts"), F.explode(F.sequence(F.lit(0), (copies - 1).cast("int"))).alias("copy")
+    )
+    one = F.struct("hits", "texts")
+    key = F.pmod(F.xxhash64("hits") + F.col("copy"), F.lit(n)).alias("block")
+    return placed.groupBy(key).agg(F.sort_array(F.collect_list(one)).alias("rows"))
+
+
 def learn(
     docs: DataFrame,
     labels: DataFrame,
@@ -123,12 +205,15 @@ def learn(
     text: str = "text",
     label: str = "toxic",
     positives: int = POSITIVES,
-    unlabelled: int = UNLABELLED,
+    block: int = BLOCK,
 ) -> Model:
     """Fit on rows outside fold 0; only ``label`` of those rows and the texts are looked at.
 
-    The class prior is the toxic share of the labelled training rows. Without a toxic one among them
-    the classifier has no features and scores every text a little above 0.
+    All texts outside fold 0 are unlabelled ones, whole and each as often as it is there; of the confirmed toxic
+    ones about ``positives`` are taken. The features are the words that stand out among these against all
+    texts, ``FEATURES`` at most, which is the size of the model. The class prior is the toxic share of the
+    labelled training rows. Without a toxic one among them the classifier has no features and scores every text
+    a little above 0.
     """
     known = labels.filter(fold(F.col(doc_id)) != 0).select(F.col(doc_id).alias("doc"), F.col(label).alias("label"))
     counts = known.filter("label IS NOT NULL").agg(F.count("*"), F.count_if(F.col("label") == 1)).first()
@@ -138,40 +223,34 @@ def learn(
     # At most about POSITIVES ids.
     chosen = thinned(known.filter("label = 1").select("doc").distinct(), "doc", positives, "toxic")
     bodies = docs.filter(fold(F.col(doc_id)) != 0).select(F.col(doc_id).alias("doc"), F.coalesce(text, F.lit("")).alias("text"))
-    sample = staged(
-        bodies.join(F.broadcast(chosen), "doc")
-        .select(F.lit(1).alias("positive"), "text", "doc")
-        .unionByName(
-            thinned(bodies, "doc", unlabelled, "unlabelled").select(F.lit(0).alias("positive"), "text", "doc")
-        ),
-        "toxic-sample",
-    )
-    sizes = {r["positive"]: r["n"] for r in sample.groupBy("positive").agg(F.count("*").alias("n")).collect()}
-    if not sizes.get(1) or not sizes.get(0):
+    toxic = staged(bodies.join(F.broadcast(chosen), "doc").select("text"), "toxic-sample")
+    n_toxic, n_texts = toxic.count(), bodies.count()
+    if not n_toxic:
         return Model({}, np.zeros(0), -5.0)
-    share = F.col("p") / sizes[1]
-    pooled = (F.col("p") + F.col("u") + 1) / (sizes[1] + sizes[0] + 2)
-    error = F.sqrt(pooled * (1 - pooled) * (1 / sizes[1] + 1 / sizes[0]))
+    counted = "token string, texts long"
+    often = toxic.mapInArrow(_token_counts(None), counted).groupBy("token").agg(F.sum("texts").alias("p")).filter("p >= 2")
+    often = staged(often, "toxic-words")
+    # Words of at least two of a bounded number of texts.
+    wanted = {r["token"] for r in often.select("token").collect()}
+    share = F.col("p") / n_toxic
+    pooled = (F.col("p") + F.col("u") + 1) / (n_toxic + n_texts + 2)
+    error = F.sqrt(pooled * (1 - pooled) * (1 / n_toxic + 1 / n_texts))
     stand = (
-        sample.mapInArrow(_token_rows, "positive int, token string")
+        bodies.select("text")
+        .mapInArrow(_token_counts(wanted), counted)
         .groupBy("token")
-        .agg(F.sum("positive").alias("p"), F.sum(1 - F.col("positive")).alias("u"))
-        .filter("p >= 2")
-        .withColumn("z", (share - F.col("u") / sizes[0]) / error)
+        .agg(F.sum("texts").alias("u"))
+        .join(often, "token")
+        .withColumn("z", (share - F.col("u") / n_texts) / error)
         .filter(F.col("z") >= STANDS_OUT)
         .orderBy(F.desc("z"), "token")
         .limit(FEATURES)
     )
     vocabulary = {r["token"]: i for i, r in enumerate(stand.select("token").collect())}
-    rows = sample.mapInArrow(_feature_rows(vocabulary), "positive int, doc long, hits array<int>").collect()
-    rows = sorted(rows, key=lambda r: (r["positive"], r["doc"], r["hits"]))
-    released(docs.sparkSession)
-
-    positive, other = (
-        Hits([r["hits"] for r in rows if r["positive"] == role], len(vocabulary)) for role in (1, 0)
-    )
-    weights, bias = fit_nnpu(positive, other, prior)
-    return Model(vocabulary, weights, bias)
+    rows = sorted((r["hits"], r["texts"]) for r in _patterns(toxic, vocabulary).collect())
+    positive = Hits([r[0] for r in rows], len(vocabulary), np.array([r[1] for r in rows], float))
+    blocks = staged(_blocks(staged(_patterns(bodies, vocabulary), "patterns"), n_texts, block), "blocks")
+    return Model(vocabulary, *fit_blocks(blocks, positive, prior))
 
 
 def _scored(model: Model):
