@@ -78,3 +78,13 @@ def test_repeated_rows_nulls_long_texts_and_clashes(spark):
     by_id = {}
     for r in out:
         assert by_id.setdefault(r.doc_id, r.score) == r.score
+
+
+def test_empty_tables_and_nothing_to_tell_apart(spark):
+    docs = spark.createDataFrame([(i, "a b") for i in range(9)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i in range(9)], "doc_id long, toxic int")
+    elsewhere = labels.selectExpr("doc_id + 50 AS doc_id", "toxic")
+    for table, known in (
+        (docs.limit(0), labels.limit(0)), (docs, labels.limit(0)), (docs.limit(0), labels), (docs, labels), (docs, elsewhere)
+    ):
+        assert toxicity.score(table, toxicity.learn(table, known)).count() == table.count()
