@@ -204,3 +204,36 @@ def test_ordered_statistics(spark):
         seen = [r[2] for r in (order[:place] if role == "train" else order) if r[3] == "train" and r[1] == c]
         assert got[i] == pytest.approx((sum(seen) + 0.25) / (len(seen) + 1))
     assert len(got) == len(rows) and isinstance(InTask(block()).totals(), np.ndarray)
+
+
+@pytest.mark.parametrize(
+    "settings",
+    [
+        Settings(rounds=3, depth=4, row_share=0.7),
+        Settings(rounds=3, leaves=9, min_rows=5),
+        Settings(rounds=3, depth=3, symmetric=True, row_share=0.7),
+    ],
+)
+def test_passes_that_go_on_from_the_last_one_equal_passes_from_the_root(settings, monkeypatch):
+    asked = []
+
+    class Checked(InTask):
+        def ask(self, tree, nodes, number, share, bins):
+            found = super().ask(tree, nodes, number, share, bins)
+            assert np.array_equal(found, tables(self.block, tree, nodes, number, share, bins))
+            asked.append(number)
+            return found
+
+    boosting.grown(Checked(block(seed=9)), np.array([False, False, True, False, False]), 16, settings)
+    assert set(asked) == {0, 1, 2} and len(asked) > 6
+
+
+def test_a_partition_of_rows_sends_the_driver_no_tables(spark, monkeypatch):
+    def refused(self, blocks):
+        raise AssertionError("a job a pass")
+
+    monkeypatch.setattr(boosting.ByJobs, "__init__", refused)
+    x = F.array((F.col("id") % 97).cast("double"), (F.col("id") % 89).cast("double"))
+    rows = spark.range(30_000).select("id", array_to_vector(x).alias("features"), F.lit(1.0).alias("w"), (F.col("id") % 97 > 60).cast("int").alias("y"))
+    model = boosting.fit(rows, ["a", "b"], Settings(rounds=2, depth=2), "y", "w", "id")
+    assert [t["feature"][0] for t in model.state["trees"]] == [0, 0]

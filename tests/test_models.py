@@ -1,4 +1,5 @@
 import dataclasses
+import threading
 
 import pytest
 from pyspark.ml import PipelineModel
@@ -133,3 +134,14 @@ def test_stored_preparation_scores_raw_customers(spark, rows, tmp_path):
     assert 0 <= learners.score_raw(loaded, odd).first().calibrated <= 1
     with pytest.raises(ValueError, match="stored stages"):
         learners.scoring_pipeline(learners.nominal_features(rows), model, calibrator)
+
+
+def test_candidates_are_fitted_at_the_same_time(spark):
+    all_there = threading.Barrier(len(learners.CANDIDATES), timeout=60)
+
+    def fitted(name):
+        all_there.wait()
+        return name, spark.range(3).count()
+
+    assert learners.all_candidates(spark, fitted) == {n: (n, 3) for n in learners.CANDIDATES}
+    assert list(learners.all_candidates(spark, fitted)) == list(learners.CANDIDATES)
