@@ -32,7 +32,7 @@ MOST_CLASS_DISTANCE, LEAST_CHARACTERS = 0.29, 100
 MOST_WORD_DISTANCE, LEAST_JUDGED_WORDS = 0.42, 50
 #: A common word is at least this share of its language's words, so a language has 250 of them at most.
 COMMON_SHARE = 0.004
-#: Slots by hash, in which a language's common words are looked up.
+#: Slots by hash, in which a language's common words are looked up; a power of two.
 SLOTS = 256
 UNKNOWN = ""
 
@@ -103,31 +103,31 @@ def common_word_counts(rows: DataFrame, hashes: str) -> DataFrame:
     """Adds ``common``, (i, n) of the reference's words in the text: number i occurs n times.
 
     A word's slot in the reference holds the few words it may be, so a text costs what its words
-    cost, however long the reference is.
+    cost, however long the reference is. Only what is met is numbered, once a distinct word.
     """
 
+    def slot(h: Column) -> Column:
+        return h.bitwiseAND(F.lit(SLOTS - 1)).cast("int")
+
     def number(h: Column) -> Column:
-        slot = F.pmod(h, F.lit(SLOTS)).cast("int")
-        start = F.get("ref_starts", slot)
-        held = F.get("ref_starts", slot + 1) - start
-        at = F.array_position(F.slice("ref_hashes", start + 1, held), h).cast("int")
-        return F.when((held > 0) & (at > 0), start + at - 1)
+        return F.get("ref_starts", slot(h)) + F.array_position(F.get("ref_slots", slot(h)), h).cast("int") - 1
 
-    rows = rows.withColumn("_met", F.sort_array(F.filter(F.transform(hashes, number), lambda i: i.isNotNull())))
+    met = F.filter(hashes, lambda h: F.array_contains(F.get("ref_slots", slot(h)), h))
+    rows = rows.withColumn("_met", F.sort_array(met))
     ends = F.transform(
         "_met",
         lambda i, k: F.when(
-            ~i.eqNullSafe(F.get(F.col("_met"), k + 1)), F.struct(i.alias("i"), (k + 1).alias("end"))
+            ~i.eqNullSafe(F.get(F.col("_met"), k + 1)), F.struct(i.alias("h"), (k + 1).alias("end"))
         ),
     )
     rows = rows.withColumn("_ends", F.filter(ends, lambda x: x.isNotNull()))
     counts = F.transform(
         "_ends",
         lambda x, k: F.struct(
-            x["i"].alias("i"), (x["end"] - F.coalesce(F.get(F.col("_ends"), k - 1)["end"], F.lit(0))).alias("n")
+            number(x["h"]).alias("i"), (x["end"] - F.coalesce(F.get(F.col("_ends"), k - 1)["end"], F.lit(0))).alias("n")
         ),
     )
-    return rows.withColumn("common", counts).drop("_met", "_ends")
+    return rows.withColumn("common", F.sort_array(counts)).drop("_met", "_ends")
 
 
 def word_distance(n_words: Column) -> Column:
@@ -191,12 +191,12 @@ def base_counts(rows: DataFrame, text: str) -> DataFrame:
 
 
 def language_references(rows: DataFrame) -> DataFrame:
-    """(ref_lang, ref_classes, ref_hashes, ref_counts, ref_starts, ref_total, ref_rest) from (lang, text), one row per language.
+    """(ref_lang, ref_classes, ref_slots, ref_counts, ref_starts, ref_total, ref_rest) from (lang, text), one row per language.
 
     Words are counted by hash, map-side first. Every language with a word has a reference, however
     small its share of the corpus; of its words only those of at least COMMON_SHARE are kept. ref_rest counts the rare words. A language without a common word, such as one that
     does not separate its words, has empty arrays and its classes. The common words go by hash, slot by slot: those of
-    slot s are numbered from ref_starts[s] up to ref_starts[s + 1].
+    slot s are ref_slots[s], numbered from ref_starts[s] up to ref_starts[s + 1].
     """
     words = rows.select("lang", F.explode(word_array(F.col("text"))).alias("word"))
     counted = words.groupBy("lang", F.xxhash64("word").alias("hash")).count()
@@ -210,7 +210,10 @@ def language_references(rows: DataFrame) -> DataFrame:
         .agg(F.sort_array(F.collect_list(F.struct("slot", "hash", "n"))).alias("common"), F.first("total").alias("total"))
         .select(
             F.col("lang").alias("ref_lang"),
-            F.col("common.hash").alias("ref_hashes"),
+            F.transform(
+                F.sequence(F.lit(0), F.lit(SLOTS - 1)),
+                lambda s: F.transform(F.filter("common", lambda c: c["slot"] == s), lambda c: c["hash"]),
+            ).alias("ref_slots"),
             F.col("common.n").alias("ref_counts"),
             F.transform(
                 F.sequence(F.lit(0), F.lit(SLOTS)), lambda s: F.size(F.filter("common", lambda c: c["slot"] < s))
@@ -225,8 +228,8 @@ def language_references(rows: DataFrame) -> DataFrame:
         .agg(F.array(*sums).alias("classes"), F.sum(F.col("chars").cast("double")).alias("chars"))
         .select("lang", with_rest(F.col("classes"), F.col("chars")).alias("ref_classes"))
     )
-    none = F.array().cast("array<bigint>"), F.array().cast("array<double>"), F.array_repeat(F.lit(0), SLOTS + 1)
-    own = common.select(F.col("ref_lang").alias("lang"), "ref_hashes", "ref_counts", "ref_starts", "ref_rest")
+    none = F.array().cast("array<array<bigint>>"), F.array().cast("array<double>"), F.array_repeat(F.lit(0), SLOTS + 1)
+    own = common.select(F.col("ref_lang").alias("lang"), "ref_slots", "ref_counts", "ref_starts", "ref_rest")
     known = totals.select("lang", F.col("total").alias("ref_total"))
     return staged(
         classes.join(known, "lang")
@@ -234,7 +237,7 @@ def language_references(rows: DataFrame) -> DataFrame:
         .select(
             F.col("lang").alias("ref_lang"),
             "ref_classes",
-            *[F.coalesce(c, x).alias(c) for c, x in zip(("ref_hashes", "ref_counts", "ref_starts"), none, strict=True)],
+            *[F.coalesce(c, x).alias(c) for c, x in zip(("ref_slots", "ref_counts", "ref_starts"), none, strict=True)],
             "ref_total",
             F.coalesce("ref_rest", "ref_total").alias("ref_rest"),
         ),

@@ -368,3 +368,20 @@ def test_empty_tables(spark, empty):
     assert superminhash.near_duplicates(empty).count() == 0
     assert vectors.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
     assert mixing.mix(empty).count() == 0 and mixing.mixed_documents(empty).count() == 0
+
+
+def test_common_words_are_looked_up_by_slot(spark):
+    """Words that share a slot, words that only share a slot with one, and words of no slot."""
+    words = [f"w{k}" for k in range(900)]
+    table = spark.createDataFrame([("x", " ".join(words[:200] * 2))], "lang string, text string")
+    reference = rules.language_references(table).drop("ref_lang", "ref_classes")
+    slots = reference.first()["ref_slots"]
+    assert sum(map(len, slots)) == 200 and max(map(len, slots)) > 1
+    texts = spark.createDataFrame([(words[150:] + words[150:160],), ([],)], "words array<string>")
+    rows = texts.select(F.transform("words", lambda w: F.xxhash64(w)).alias("hashes")).crossJoin(reference)
+    got = [r.common for r in rules.common_word_counts(rows, "hashes").collect()]
+    full, empty = sorted(got, key=len, reverse=True)
+    assert empty == [] and [x["i"] for x in full] == sorted({x["i"] for x in full})
+    held = [h for slot in slots for h in slot]
+    hash_of = {r.w: r.h for r in spark.createDataFrame([(w,) for w in words], "w string").select("w", F.xxhash64("w").alias("h")).collect()}
+    assert {held[x["i"]]: x["n"] for x in full} == {hash_of[w]: 2 if w in words[150:160] else 1 for w in words[150:200]}
