@@ -160,6 +160,30 @@ def test_templated_lines(spark):
     assert got == {i: (expected.get(i, []),) for i, _ in rows}
 
 
+def test_open_lines_are_ordered_in_slices(spark, monkeypatch):
+    """No table of whole sets; the shingles are put in order slice by slice, and all that is alike is proposed."""
+    sizes = {}
+
+    def counted(df, label, make):
+        out = make(df, label)
+        sizes.setdefault(label, []).append((out[0] if isinstance(out, tuple) else out).count())
+        return out
+
+    for name in ("staged", "written"):
+        monkeypatch.setattr(lines, name, lambda df, label, make=getattr(lines, name): counted(df, label, make))
+    numbers = [" ".join(f"{(20 * k + j) * 7919 % 10007:05d}" for j in range(20)) for k in range(40)]
+    bodies = [f"the list of titles {n} of {x}" for n in numbers for x in ("a fox", "an ox", "so many hens and their chickens")]
+    table = spark.createDataFrame([(b,) for b in bodies], "body string").select(F.xxhash64("body").alias("line"), "body")
+    number = {r.body: r.line for r in table.collect()}
+    got = lines._apart(table.select(F.col("line").alias("rep"), F.col("line").alias("component")), table)
+    got = {(r.a, r.b) for r in got.collect()}
+    sets = {number[b]: {b[j : j + 9] for j in range(len(b) - 8)} for b in bodies}
+    alike = {(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
+    assert alike and alike <= got
+    assert len(sizes["prefixes"]) == lines.SLICES and max(sizes["prefixes"]) < 0.6 * sum(sizes["prefixes"])
+    assert sorted(sizes) == ["prefix-pairs", "prefixes", "shingle-counts"]
+
+
 def test_line_shingles(spark):
     bodies = ["a", "12345678", "123456789", "x" * 300, *["".join(chr(0x4E00 + k) for k in range(n)) for n in (256, 257, 264, 265, 512, 513, 2000)]]
     held = spark.createDataFrame([(b,) for b in bodies], "body string").select("body", lines.hashed_shingles(F.col("body")).alias("got"))
