@@ -3,6 +3,7 @@ import threading
 
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from keepwell import session
@@ -99,6 +100,24 @@ def test_rows_beyond_the_caps_are_not_prepared(rows):
     assert features.role("train").count() == 400
 
 
+def test_statistics_are_those_of_all_train_rows(spark):
+    """A split of more train rows than 200,000 leaves none out."""
+    from keepwell.operators.model_input import CATEGORIES
+
+    customers = spark.range(400_000).select(
+        F.col("id").alias("msno"), (F.col("id") % 7 == 0).cast("int").alias("is_churn"), (F.col("id") % 50).alias("days"),
+        *[(F.col("id") % 3).cast("string").alias(c) for c in CATEGORIES],
+    )
+    roles = staged(splitting.split_roles(customers), "many-roles")
+    features = learners.statistic_features(roles)
+    assert features.rows.count() == 400_000 and features.training(learners.QUICK).count() > 200_000
+    train = roles.filter("role = 'train'").groupBy(list(CATEGORIES)[0]).agg(F.sum("is_churn").alias("s"), F.count("*").alias("n"))
+    prior = roles.filter("role = 'train'").agg(F.avg("is_churn")).first()[0]
+    expected = sorted((r.s + prior) / (r.n + 1) for r in train.collect())
+    seen = features.role("test").select(vector_to_array("features")[features.names.index(f"{list(CATEGORIES)[0]}_stat")].alias("v"))
+    assert sorted(r.v for r in seen.distinct().collect()) == pytest.approx(expected, abs=1e-12)
+
+
 def test_registered_queries_fit_each_candidate_once_with_the_reported_settings(spark, sf_dir, monkeypatch):
     fits = []
 
