@@ -409,3 +409,34 @@ def test_common_words_are_looked_up_by_slot(spark):
     held = [h for slot in slots for h in slot]
     hash_of = {r.w: r.h for r in spark.createDataFrame([(w,) for w in words], "w string").select("w", F.xxhash64("w").alias("h")).collect()}
     assert {held[x["i"]]: x["n"] for x in full} == {hash_of[w]: 2 if w in words[150:160] else 1 for w in words[150:200]}
+
+
+def test_lines_that_are_settled_do_not_meet_by_rare_shingles(spark, monkeypatch):
+    """Twos that share half of their words, and threes whose third line is like none: no bucket is left open."""
+    rng = random.Random(8)
+    words = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(n))
+    rows = []
+    for k in range(60):
+        common, line = words(14), words(20)
+        rows += [(4 * k, common + " " + words(14)), (4 * k + 1, common + " " + words(14))]
+        rows += [(4 * k + 2, line), (4 * k + 3, line + " " + words(1) + "\n" + " ".join(line.split()[:10]) + " " + words(10))]
+    met, apart = [], lines._apart
+    monkeypatch.setattr(lines, "_apart", lambda left, bodies: met.append(left.count()) or apart(left, bodies))
+    gone = {r.doc: r.removed for r in lines.removed_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert gone == {4 * k + 3: [0] for k in range(60)}
+    assert met == [0]
+
+
+def test_strays_are_compared_with_all_lines_of_other_components(spark):
+    rng = random.Random(9)
+    rows = [(key, rep, rng.choice([1, 1, 1, 2, 3])) for key in range(9) for rep in rng.sample(range(100), 12)]
+    component = dict({(rep): c for _, rep, c in rows})
+    rows = sorted({(key, rep, component[rep]) for key, rep, _ in rows})
+    frame = spark.createDataFrame(rows, "key long, rep long, component long")
+    largest = lines._largest(frame)
+    got = sorted((r.a, r.b) for r in lines._stray_pairs(frame.join(largest, "key")).collect())
+    expected = {(x[1], y[1]) for x in rows for y in rows if x[0] == y[0] and x[1] < y[1] and x[2] != y[2]}
+    assert got == sorted(expected)
+    for r in largest.collect():
+        own = [c for key, _, c in rows if key == r.key]
+        assert r.strays == len(own) - max(map(own.count, own)) and own.count(r.main) == len(own) - r.strays
